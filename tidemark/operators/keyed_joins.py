@@ -47,9 +47,6 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "i
         return rows.withColumns({c: F.lit(only[c]) for c in facts.columns}) if only else (
             rows.where(F.lit(False)).select("*", *[F.lit(None).alias(c) for c in facts.columns])
         )
-    renamed = facts.select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
-        *[F.col(c) for c in facts.columns if c not in keys],
-    )
-    condition = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return rows.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
+    renamed = facts.withColumnsRenamed({k: f"__{k}" for k in keys})
+    condition = " AND ".join(f"`{k}` <=> `__{k}`" for k in keys)
+    return rows.join(renamed, F.expr(condition), how).drop(*[f"__{k}" for k in keys])

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import bin_index, flag, magnitude_slot, ratio
+from tidemark.operators.keyed_joins import attach, settle
 
 # Bins shared out among the slots of ``roc_points`` by their number of scores.
 ROC_BINS = 8192
@@ -74,35 +75,40 @@ def roc_points(df: DataFrame, label: str, score: str, positive: int = 1) -> Data
     """``(score, pos, neg, cum_pos, cum_neg, tpr, fpr)``: one row per distinct score.
 
     A running sum over one global order would put every score into one task.
-    Here the rows are first merged per distinct score. Scores then fall into
-    order-preserving slots and, within a slot, into bins whose number follows
-    the scores the slot holds. Running totals over the bins (a bounded number,
-    hence broadcast) give each bin its start, and the sums inside the bins run
-    in parallel.
+    Here scores fall into order-preserving slots and, within a slot, into bins
+    whose number follows the rows the slot holds. Two scans find the slots and
+    the class counts per bin, both bounded in number and settled when the
+    function is called. Running totals over the bins give each bin its start;
+    the third scan merges rows per distinct score and sums inside the bins, all
+    bins in parallel.
     """
     is_positive = F.col(label) == positive
-    per_score = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
-        .agg(F.sum(flag(is_positive)).alias("pos"), F.sum(flag(~is_positive)).alias("neg"))
-        .withColumn("slot", magnitude_slot(F.col("score")))
-    )
-    slots = per_score.groupBy("slot").agg(
-        F.count(F.lit(1)).alias("scores"), F.min("score").alias("lo"), F.max("score").alias("hi")
-    )
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(score).cast("double").alias("score"),
+        flag(is_positive).alias("pos"),
+        flag(~is_positive).alias("neg"),
+    ).withColumn("slot", magnitude_slot(F.col("score")))
+
     # at most MAX_SLOTS rows
-    slots = slots.withColumn(
-        "bins",
-        F.ceil(ROC_BINS * F.col("scores") / F.sum("scores").over(Window.partitionBy(F.lit(0)))),
-    ).drop("scores")
-    binned = per_score.join(F.broadcast(slots), "slot").select(
+    slots = settle(
+        rows.groupBy("slot")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"))
+        .select(
+            "slot", "lo", "hi",
+            F.ceil(ROC_BINS * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+            .alias("bins"),
+        ),
+        bounded=True,
+    )
+    binned = attach(rows, slots, ["slot"]).select(
         "slot", bin_index(F.col("score"), F.col("lo"), F.col("hi"), F.col("bins")).alias("bin"),
         "score", "pos", "neg",
     )
+
+    # at most MAX_SLOTS + ROC_BINS rows
     everything = Window.partitionBy(F.lit(0))
     downwards = everything.orderBy(F.desc("slot"), F.desc("bin"))
-    # at most MAX_SLOTS + ROC_BINS rows
-    starts = (
+    starts = settle(
         binned.groupBy("slot", "bin")
         .agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
         .select(
@@ -111,13 +117,21 @@ def roc_points(df: DataFrame, label: str, score: str, positive: int = 1) -> Data
             (F.sum("n").over(downwards) - F.col("n")).alias("neg_before"),
             F.sum("p").over(everything).alias("all_pos"),
             F.sum("n").over(everything).alias("all_neg"),
-        )
+        ),
+        bounded=True,
     )
+
     in_bin = Window.partitionBy("slot", "bin").orderBy(F.desc("score"))
+    per_score = (
+        binned.groupBy("slot", "bin", "score")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .withColumn("pos_upto", F.sum("pos").over(in_bin))
+        .withColumn("neg_upto", F.sum("neg").over(in_bin))
+    )
     return (
-        binned.join(F.broadcast(starts), ["slot", "bin"])
-        .withColumn("cum_pos", F.col("pos_before") + F.sum("pos").over(in_bin))
-        .withColumn("cum_neg", F.col("neg_before") + F.sum("neg").over(in_bin))
+        attach(per_score, starts, ["slot", "bin"])
+        .withColumn("cum_pos", F.col("pos_before") + F.col("pos_upto"))
+        .withColumn("cum_neg", F.col("neg_before") + F.col("neg_upto"))
         .select(
             "score", "pos", "neg", "cum_pos", "cum_neg",
             ratio(F.col("cum_pos"), F.col("all_pos"), None).alias("tpr"),

@@ -55,6 +55,23 @@ class FittedModels:
         return scored.withColumn("p_positive", vector_to_array("probability")[1])
 
 
+def _training_rows(df: DataFrame) -> DataFrame:
+    """Persisted rows in at least one partition per core.
+
+    Training passes over its input many times, so rows that lie in fewer
+    partitions than there are cores are spread out once. Input of any size that
+    already fills the cores stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.select(F.spark_partition_id()).distinct().count() >= cores:
+        return kept
+    spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    kept.unpersist()
+    return spread
+
+
 def fit_models(
     train: DataFrame,
     categorical: Sequence[str],
@@ -71,11 +88,8 @@ def fit_models(
     estimators = estimators or {LOGISTIC: logistic_regression(), FOREST: random_forest()}
     features = fit_features(train, categorical, numeric)
     labelled = binary_label(train, target, positive)
-    ready = (
-        features.transform(labelled)
-        .where(F.col("label").isNotNull())
-        .select("label", "features")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    ready = _training_rows(
+        features.transform(labelled).where(F.col("label").isNotNull()).select("label", "features")
     )
     try:
         classifiers = {name: e.fit(ready) for name, e in estimators.items()}

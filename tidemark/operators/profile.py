@@ -80,19 +80,22 @@ def histogram(df: DataFrame, measure: str, bins: int) -> DataFrame:
     flat = lo == hi
     low, high = F.when(flat, lo - 0.5).otherwise(lo), F.when(flat, hi + 0.5).otherwise(hi)
     x = F.col(measure).cast("double")
-    counts = (
-        df.where(F.col(measure).isNotNull())
-        .select(bin_index(x, low, high, bins).alias("bin"))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+    # a zero for every bin makes the empty ones appear without a join
+    none = df.sparkSession.range(bins).select(F.col("id").alias("bin"), F.lit(0).alias("n"))
+    filled = df.where(F.col(measure).isNotNull()).select(
+        bin_index(x, low, high, bins).alias("bin"), F.lit(1).alias("n")
     )
     width = (high - low) / bins
-    every_bin = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return every_bin.join(F.broadcast(counts), "bin", "left").select(
-        "bin",
-        (low + F.col("bin") * width).alias("bin_low"),
-        (low + (F.col("bin") + 1) * width).alias("bin_high"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("count"),
+    return (
+        filled.unionByName(none)
+        .groupBy("bin")
+        .agg(F.sum("n").alias("count"))
+        .select(
+            "bin",
+            (low + F.col("bin") * width).alias("bin_low"),
+            (low + (F.col("bin") + 1) * width).alias("bin_high"),
+            "count",
+        )
     )
 
 

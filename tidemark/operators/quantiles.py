@@ -19,6 +19,8 @@ before the next, so a later filter or join sees it as data of known size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,12 +29,48 @@ from tidemark.functions.expressions import bin_index, magnitude_slot
 from tidemark.operators.keyed_joins import attach, settle
 
 BINS_PER_SLOT = 4096
+# Ranges up to which scans 2 and 3 filter rows before they join.
+MAX_RANGES = 64
 
 
-def _ranks_within(ranks: Column, start: Column, n: Column) -> Column:
-    """The wanted ranks that fall into ``n`` rows from ``start``, counted from there."""
-    inside = F.filter(ranks, lambda r: (r["rank"] >= start) & (r["rank"] < start + n))
-    return F.transform(inside, lambda r: r.withField("rank", r["rank"] - start))
+# The wanted ranks that fall into ``n`` rows from ``before``, counted from there.
+RANKS_WITHIN = """
+    transform(
+      filter(ranks, r -> r.rank >= before AND r.rank < before + n),
+      r -> named_struct('prob', r.prob, 'fraction', r.fraction, 'rank', r.rank - before))
+"""
+
+
+def _wanted_ranks(probs: Sequence[float]) -> str:
+    """Both neighbours of each interpolated position among ``total`` values."""
+    entries = []
+    for p in map(float, probs):
+        position = f"({p!r}D * (total - 1))"
+        for end in ("floor", "ceil"):
+            entries.append(
+                f"named_struct('prob', {p!r}D, 'fraction', {position} - floor({position}), "
+                f"'rank', {end}({position}))"
+            )
+    return f"array({', '.join(entries)})"
+
+
+def _near(values: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows whose ``x`` lies in one of the found ranges, as a constant filter.
+
+    Skips most rows at the scan, before the join that decides exactly. Left out
+    where there are too many ranges for a filter.
+    """
+    ranges = found.select("low", "high").limit(MAX_RANGES + 1).collect()
+    if not ranges or len(ranges) > MAX_RANGES:
+        return values
+    merged: list[list[float]] = []
+    for low, high in sorted((r["low"], r["high"]) for r in ranges):
+        if merged and low <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], high)
+        else:
+            merged.append([low, high])
+    inside = [F.col("x").between(low, high) for low, high in merged]
+    return values.where(reduce(or_, inside))
 
 
 def quantiles(
@@ -47,75 +85,63 @@ def quantiles(
     """
     keys = list(by)
     one_group = not keys
-    values = (
-        df.select(*keys, F.col(measure).cast("double").alias("x"))
-        .where(F.col("x").isNotNull() & ~F.isnan("x"))
-        .withColumn("slot", magnitude_slot(F.col("x")))
+    values = df.select(*keys, F.col(measure).cast("double").alias("x")).where(
+        "x IS NOT NULL AND NOT isnan(x)"
     )
+    tallies = [F.expr(e) for e in ("count(1) AS n", "min(x) AS low", "max(x) AS high")]
 
-    # 1. which slot
-    in_group = Window.partitionBy(*(keys or [F.lit(0)]))
-    slots = (
-        values.groupBy(*keys, "slot")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-        .withColumn("before", F.sum("n").over(in_group.orderBy("slot")) - F.col("n"))
-        .withColumn("total", F.sum("n").over(in_group))
-    )
-
-    def neighbours(p: float) -> list[Column]:
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        return [
-            F.struct(
-                F.lit(float(p)).alias("prob"),
-                (position - F.floor(position)).alias("fraction"),
-                end(position).alias("rank"),
-            )
-            for end in (F.floor, F.ceil)
-        ]
+    def before(*group: str, order: str) -> Column:
+        """Rows of the group that come before the current entry."""
+        window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(order)
+        return (F.sum("n").over(window) - F.col("n")).alias("before")
 
-    wanted = F.array(*[r for p in probs for r in neighbours(p)])
+    # 1. which slot
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
     slots = settle(
-        slots.withColumn("ranks", _ranks_within(wanted, F.col("before"), F.col("n")))
-        .where(F.size("ranks") > 0)
-        .select(*keys, "slot", "low", "high", "ranks"),
+        values.groupBy(*keys, magnitude_slot(F.col("x")).alias("slot"))
+        .agg(*tallies)
+        .select("*", before(*keys, order="slot"), F.sum("n").over(whole).alias("total"))
+        .withColumn("ranks", F.expr(_wanted_ranks(probs)))
+        .select(*keys, "slot", "low", "high", F.expr(RANKS_WITHIN).alias("ranks"))
+        .where("size(ranks) > 0"),
         one_group,
     )
 
     # 2. which bin of the slot
-    binned = attach(values, slots.drop("ranks"), [*keys, "slot"]).select(
-        *keys, "slot", "x",
-        bin_index(F.col("x"), F.col("low"), F.col("high"), BINS_PER_SLOT).alias("bin"),
-    )
-    in_slot = Window.partitionBy(*keys, "slot").orderBy("bin")
+    def binned(rows: DataFrame) -> DataFrame:
+        slotted = rows.select("*", magnitude_slot(F.col("x")).alias("slot"))
+        bin_ = bin_index(F.col("x"), F.col("low"), F.col("high"), BINS_PER_SLOT)
+        return attach(slotted, slots.drop("ranks"), [*keys, "slot"]).select(
+            *keys, "slot", "x", bin_.alias("bin")
+        )
+
     bins = (
-        binned.groupBy(*keys, "slot", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.sum("n").over(in_slot) - F.col("n"))
+        binned(_near(values, slots))
+        .groupBy(*keys, "slot", "bin")
+        .agg(*tallies)
+        .select("*", before(*keys, "slot", order="bin"))
     )
     bins = settle(
         attach(bins, slots.drop("low", "high"), [*keys, "slot"])
-        .withColumn("ranks", _ranks_within(F.col("ranks"), F.col("before"), F.col("n")))
-        .where(F.size("ranks") > 0)
-        .select(*keys, "slot", "bin", "ranks"),
+        .select(*keys, "slot", "bin", "low", "high", F.expr(RANKS_WITHIN).alias("ranks"))
+        .where("size(ranks) > 0"),
         one_group,
     )
 
     # 3. which value of the bin
-    in_bin = Window.partitionBy(*keys, "slot", "bin").orderBy("x")
+    in_bins = attach(binned(_near(values, bins)), bins.select(*keys, "slot", "bin"),
+                     [*keys, "slot", "bin"])
     exact = (
-        attach(binned, bins.drop("ranks"), [*keys, "slot", "bin"])
-        .groupBy(*keys, "slot", "bin", "x")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.sum("n").over(in_bin) - F.col("n"))
+        in_bins.groupBy(*keys, "slot", "bin", "x")
+        .agg(F.expr("count(1) AS n"))
+        .select("*", before(*keys, "slot", "bin", order="x"))
     )
-    found = attach(exact, bins, [*keys, "slot", "bin"]).select(
-        *keys, "x",
-        F.inline(_ranks_within(F.col("ranks"), F.col("before"), F.col("n"))),
+    found = attach(exact, bins.drop("low", "high"), [*keys, "slot", "bin"]).select(
+        *keys, "x", F.expr(f"inline({RANKS_WITHIN})")
     )
-    lower, upper = F.min("x"), F.max("x")
     return settle(
         found.groupBy(*keys, "prob").agg(
-            (lower + (upper - lower) * F.min("fraction")).alias("quantile")
+            F.expr("min(x) + (max(x) - min(x)) * min(fraction) AS quantile")
         ),
         one_group,
     )
