@@ -33,27 +33,60 @@ def summary_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_matrix(
     df: DataFrame, columns: Sequence[str], missing: Mapping[str, float] | None = None
 ) -> DataFrame:
-    """Pearson ``(col_x, col_y, corr)`` for every ordered pair, in one scan.
-
-    Each unordered pair is one aggregate; the matrix is mirrored afterwards. A
-    pair uses the rows where both values are present. ``missing`` names
-    sentinel values (such as -1 for "never") to leave out.
+    """Pearson ``(col_x, col_y, corr)`` for every ordered pair, null without variance.
+
+    A first scan, run when the function is called, takes means and counts. The
+    second sums products of centred values, which are shared among the pairs
+    and stay small enough to be compiled. A pair with an incomplete column uses
+    the rows where both values are present and is a ``corr`` of its own in the
+    same scan. ``missing`` names sentinel values (such as -1 for "never") to
+    leave out.
     """
     missing = missing or {}
 
     def present(c: str) -> Column:
         return F.when(F.col(c) != missing[c], F.col(c)) if c in missing else F.col(c)
 
+    shown = df.select(*[present(c).cast("double").alias(c) for c in columns])
+    known = shown.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean")).alias(f"c{i}")
+          for i, c in enumerate(columns)],
+    ).first()
+    n = known["n"]
+    complete = {c: known[f"c{i}"]["mean"] for i, c in enumerate(columns)
+                if known[f"c{i}"]["count"] == n > 0}
+
+    def centred(c: str) -> Column:
+        return F.coalesce(F.col(c) - F.lit(complete[c]), F.lit(0.0))
+
+    values = shown.select(
+        *[F.col(c) for c in columns], *[centred(c).alias(f"d_{c}") for c in complete]
+    )
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.agg(
-        *[F.corr(present(a), present(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
+    shared = [(a, b) for a, b in pairs if a in complete and b in complete]
+    own = [p for p in pairs if p not in shared]
+    sums = values.agg(
+        *[F.sum(f"d_{c}").alias(f"s_{c}") for c in complete],
+        *[F.sum(F.col(f"d_{a}") * F.col(f"d_{b}")).alias(f"p_{a}_{b}") for a, b in shared],
+        *[F.corr(a, b).alias(f"r_{a}_{b}") for a, b in own],
     )
+
+    def covariance(a: str, b: str) -> Column:
+        return F.col(f"p_{a}_{b}") - F.col(f"s_{a}") * F.col(f"s_{b}") / max(n, 1)
+
+    def coefficient(a: str, b: str) -> Column:
+        if (a, b) in own:
+            return F.when(~F.isnan(f"r_{a}_{b}"), F.col(f"r_{a}_{b}"))
+        spread = covariance(a, a) * covariance(b, b)
+        return F.when(spread > 0, covariance(a, b) / F.sqrt(spread))
+
     cells = [
-        F.struct(F.lit(x).alias("col_x"), F.lit(y).alias("col_y"), F.col(f"p{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
+        F.struct(F.lit(x).alias("col_x"), F.lit(y).alias("col_y"), coefficient(a, b).alias("corr"))
+        for a, b in pairs
         for x, y in dict.fromkeys([(a, b), (b, a)])
     ]
-    return wide.select(F.inline(F.array(*cells)))
+    return sums.select(F.inline(F.array(*cells)))
 
 
 # exp(-z * z / 2) is below half a unit in the last place of 1.0 beyond this z.

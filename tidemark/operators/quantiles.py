@@ -6,7 +6,8 @@ Three column-pruned scans narrow in on the wanted ranks:
 2. rows per equal-width bin, only inside those slots: which bin holds it;
 3. rows per distinct value, only inside those bins: the value itself.
 
-Each scan combines on the map side, so what is shuffled is bounded by slots,
+A scan is left out if every slot or bin found holds a single value, as with ages
+or counts. Each scan combines on the map side, so what is shuffled is bounded by slots,
 bins and the values of the few bins left, never by the table. A value that a
 third of the rows share is one entry. The result does not depend on how the
 data is distributed; a bad distribution only leaves more values for step 3.
@@ -107,6 +108,20 @@ def quantiles(
         one_group,
     )
 
+    def interpolated(found: DataFrame) -> DataFrame:
+        return settle(
+            found.groupBy(*keys, "prob").agg(
+                F.expr("min(x) + (max(x) - min(x)) * min(fraction) AS quantile")
+            ),
+            one_group,
+        )
+
+    def single_values(found: DataFrame) -> bool:
+        return found.where("low < high").isEmpty()
+
+    if single_values(slots):
+        return interpolated(slots.select(*keys, F.col("low").alias("x"), F.expr("inline(ranks)")))
+
     # 2. which bin of the slot
     def binned(rows: DataFrame) -> DataFrame:
         slotted = rows.select("*", magnitude_slot(F.col("x")).alias("slot"))
@@ -127,24 +142,20 @@ def quantiles(
         .where("size(ranks) > 0"),
         one_group,
     )
+    if single_values(bins):
+        return interpolated(bins.select(*keys, F.col("low").alias("x"), F.expr("inline(ranks)")))
 
     # 3. which value of the bin
-    in_bins = attach(binned(_near(values, bins)), bins.select(*keys, "slot", "bin"),
-                     [*keys, "slot", "bin"])
+    in_bins = attach(
+        binned(_near(values, bins)), bins.select(*keys, "slot", "bin"), [*keys, "slot", "bin"]
+    )
     exact = (
         in_bins.groupBy(*keys, "slot", "bin", "x")
         .agg(F.expr("count(1) AS n"))
         .select("*", before(*keys, "slot", "bin", order="x"))
     )
-    found = attach(exact, bins.drop("low", "high"), [*keys, "slot", "bin"]).select(
-        *keys, "x", F.expr(f"inline({RANKS_WITHIN})")
-    )
-    return settle(
-        found.groupBy(*keys, "prob").agg(
-            F.expr("min(x) + (max(x) - min(x)) * min(fraction) AS quantile")
-        ),
-        one_group,
-    )
+    found = attach(exact, bins.drop("low", "high"), [*keys, "slot", "bin"])
+    return interpolated(found.select(*keys, "x", F.expr(f"inline({RANKS_WITHIN})")))
 
 
 def quantile_row(

@@ -31,8 +31,15 @@ from tidemark.sources.files import inline_table, read_table
 from tidemark.sources.schemas import CATEGORICAL, NUMERIC, POSITIVE, TARGET
 
 
-def contact_split(spark, sf_dir):
-    return keyed_split(contacts_from_orders(spark, sf_dir, keep_key=True), "contact_id")
+def stored_contacts(spark, sf_dir):
+    """The contact table written once, for jobs that pass over it many times."""
+    path = scratch_path(spark, "contacts")
+    contacts_from_orders(spark, sf_dir, keep_key=True).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def contact_split(contacts):
+    return keyed_split(contacts, "contact_id")
 
 
 def fit_contacts(train, *names: str) -> FittedModels:
@@ -130,7 +137,7 @@ def assembled_features(spark, sf_dir):
 @query("i6_saved_model_scores")
 def saved_model_scores(spark, sf_dir):
     """Fit, save, load, score: predicted classes by label, from the loaded model."""
-    train, test = contact_split(spark, sf_dir)
+    train, test = contact_split(stored_contacts(spark, sf_dir))
     fitted = fit_contacts(train, LOGISTIC)
     path = scratch_path(spark, "model")
     fitted.scorer(LOGISTIC).save(path)
@@ -140,7 +147,7 @@ def saved_model_scores(spark, sf_dir):
 
 @query("i7_logistic_regression")
 def logistic_coefficients(spark, sf_dir):
-    train, _ = contact_split(spark, sf_dir)
+    train, _ = contact_split(stored_contacts(spark, sf_dir))
     fitted = fit_contacts(train, LOGISTIC)
     names = feature_names(fitted.prepare(train))
     model = fitted.classifiers[LOGISTIC]
@@ -151,21 +158,21 @@ def logistic_coefficients(spark, sf_dir):
 
 @query("i8_random_forest")
 def forest_confusion(spark, sf_dir):
-    train, test = contact_split(spark, sf_dir)
+    train, test = contact_split(stored_contacts(spark, sf_dir))
     fitted = fit_contacts(train, FOREST)
     return m.confusion_matrix(fitted.score(test, FOREST), "label", "prediction")
 
 
 @query("i9_batch_scores")
 def batch_scores(spark, sf_dir):
-    train, test = contact_split(spark, sf_dir)
+    train, test = contact_split(stored_contacts(spark, sf_dir))
     scored = fit_contacts(train, LOGISTIC).score(test, LOGISTIC)
     return scored.select("contact_id", "label", "prediction")
 
 
 @query("h7_vector_element")
 def vector_element(spark, sf_dir):
-    train, test = contact_split(spark, sf_dir)
+    train, test = contact_split(stored_contacts(spark, sf_dir))
     scored = fit_contacts(train, LOGISTIC).score(test, LOGISTIC)
     return scored.select("contact_id", F.round("p_positive", 6).alias("p_positive"))
 
@@ -284,14 +291,14 @@ def exact_auc(spark, sf_dir):
 
 @query("i15_feature_importances")
 def importances(spark, sf_dir):
-    train, _ = contact_split(spark, sf_dir)
+    train, _ = contact_split(stored_contacts(spark, sf_dir))
     ranked = feature_importances(fit_contacts(train, FOREST), train)
     return top_rows(ranked, 15, "importance", "feature")
 
 
 @query("i16_model_comparison")
 def model_comparison(spark, sf_dir):
-    train, test = contact_split(spark, sf_dir)
+    train, test = contact_split(stored_contacts(spark, sf_dir))
     comparison = compare_models(fit_contacts(train), test)
     best = champion(comparison).select("model", F.lit("champion").alias("role"))
     return comparison_long(comparison).join(F.broadcast(best), "model", "left")

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.models import compare_models, feature_importances
 from tidemark.operators.partitioning import (
+    fastest_setting,
     partition_sizes,
     spread_evenly,
     sweep_results,
     sweep_timings,
 )
-from tidemark.plans.learning import contact_split, fit_contacts
+from tidemark.plans.learning import contact_split, fit_contacts, stored_contacts
 from tidemark.plans.registry import query
 from tidemark.plans.reports import (
     exploration_report,
@@ -90,28 +91,38 @@ def exploration(spark, sf_dir):
     return exploration_report(contacts_from_orders(spark, sf_dir))
 
 
-def _modelling(spark, sf_dir):
-    train, test = contact_split(spark, sf_dir)
+def _modelling(contacts):
+    train, test = contact_split(contacts)
     fitted = fit_contacts(train)
     return modelling_report(compare_models(fitted, test), feature_importances(fitted, train))
 
 
 @query("m2_modelling_report")
 def modelling(spark, sf_dir):
-    return _modelling(spark, sf_dir)
+    return _modelling(stored_contacts(spark, sf_dir))
+
+
+@query("l3_fastest_setting")
+def fastest(spark, sf_dir):
+    timings = sweep_timings(
+        read_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"],
+        ["l_quantity", "l_extendedprice"], list(sweep_partitions(spark).values()), runs=1,
+    )
+    return fastest_setting(timings)
 
 
 @query("m4_final_summary")
 def summary(spark, sf_dir):
-    contacts = contacts_from_orders(spark, sf_dir)
+    contacts = stored_contacts(spark, sf_dir)
+    columns = contacts.drop("contact_id")
     timings = sweep_timings(
-        contacts, ["job", "education"], ["balance", "duration"],
+        columns, ["job", "education"], ["balance", "duration"],
         list(sweep_partitions(spark).values()), runs=1,
     )
     return final_summary(
-        contacts,
-        exploration_report(contacts),
-        _modelling(spark, sf_dir),
+        columns,
+        exploration_report(columns),
+        _modelling(contacts),
         streaming_report(replayed(spark, sf_dir), "event_type", "avg_value"),
         timings,
     )

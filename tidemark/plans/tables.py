@@ -11,7 +11,7 @@ from tidemark.operators.grouping import average_for_value
 from tidemark.operators.quantiles import trim_to_percentiles
 from tidemark.plans.registry import query
 from tidemark.plans.sqltext import rnd, with_contacts
-from tidemark.sources.catalog import save_table
+from tidemark.sources.catalog import drop_view, register_view, save_table, table_shape
 from tidemark.sources.contacts import contacts_from_orders
 from tidemark.sources.files import read_csv, read_table, write_csv
 from tidemark.sources.schemas import CONTACT_SCHEMA
@@ -49,6 +49,29 @@ def managed_table(spark, sf_dir):
     )
 
 
+SEGMENT_SQL = """
+SELECT c_mktsegment, {average} AS avg_balance, count(*) AS customers,
+       cast(sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS bigint) AS overdrawn
+FROM {table} GROUP BY c_mktsegment"""
+
+
+@query("a6_view_sql", SEGMENT_SQL.format(average=rnd("avg(c_acctbal)", 2), table="customer"))
+def view_sql(spark, sf_dir):
+    """SQL text over a temporary view, dropped again once the query is analysed."""
+    register_view(read_table(spark, sf_dir, "customer"), "tidemark_customers")
+    result = spark.sql(
+        SEGMENT_SQL.format(average="round(avg(c_acctbal), 2)", table="tidemark_customers")
+        + " ORDER BY avg_balance DESC, c_mktsegment"
+    )
+    drop_view(spark, "tidemark_customers")
+    return result
+
+
+@query("a10_table_shape", 'SELECT count(*) AS "rows", cast(11 AS bigint) AS "columns" FROM lineitem')
+def lineitem_shape(spark, sf_dir):
+    return table_shape(read_table(spark, sf_dir, "lineitem"))
+
+
 @query("a8_csv_sink", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def csv_sink(spark, sf_dir):
     customers = read_table(spark, sf_dir, "customer").select(
