@@ -45,6 +45,16 @@ def test_correlation_is_pairwise_complete(spark):
         assert r["corr"] == pytest.approx(want.loc[r["col_x"], r["col_y"]])
 
 
+def test_correlation_of_constants_nan_and_nothing(spark):
+    rows = [(1.0, 5.0, float("nan")), (2.0, 5.0, 1.0), (4.0, 5.0, 3.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r[0], r[1]): r[2] for r in p.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    assert got[("a", "b")] is None and got[("b", "b")] is None
+    assert got[("a", "a")] == pytest.approx(1) and got[("a", "c")] == pytest.approx(1)
+    empty = p.correlation_matrix(df.limit(0), ["a", "b"]).collect()
+    assert len(empty) == 4 and all(r["corr"] is None for r in empty)
+
+
 def test_correlation_can_leave_out_a_sentinel(contacts, frame):
     got = p.correlation_matrix(contacts, ["age", "pdays"], {"pdays": -1})
     value = got.where("col_x = 'age' AND col_y = 'pdays'").first()["corr"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.expressions import bin_index
 from tidemark.operators.keyed_joins import attach, settle
 from tidemark.operators.quantiles import quantile_row
+from tidemark.sources.files import inline_table
 
 
 def summary_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -35,72 +36,84 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson ``(col_x, col_y, corr)`` for every ordered pair, null without variance.
 
-    A first scan, run when the function is called, takes means and counts. The
-    second sums products of centred values, which are shared among the pairs
-    and stay small enough to be compiled. A pair with an incomplete column uses
-    the rows where both values are present and is a ``corr`` of its own in the
-    same scan. ``missing`` names sentinel values (such as -1 for "never") to
-    leave out.
+    Two scans, run when the function is called. The first takes means and
+    counts, the second sums products of centred values. Complete columns share
+    their sums among all pairs, which keeps the aggregate small enough to be
+    compiled; a pair with an incomplete column has sums of its own over the rows
+    where both values are present. ``missing`` names sentinel values (such as -1
+    for "never") to leave out.
     """
     missing = missing or {}
 
     def present(c: str) -> Column:
-        return F.when(F.col(c) != missing[c], F.col(c)) if c in missing else F.col(c)
-
-    shown = df.select(*[present(c).cast("double").alias(c) for c in columns])
-    known = shown.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean")).alias(f"c{i}")
-          for i, c in enumerate(columns)],
+        value = F.col(c).cast("double")
+        is_value = ~F.isnan(value)
+        return F.when(is_value & (value != missing[c]) if c in missing else is_value, value)
+
+    places = range(len(columns))
+    shown = df.select(*[present(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    known = shown.selectExpr(
+        "count(1) AS n", *[f"count(c{i}) AS n{i}" for i in places],
+        *[f"avg(c{i}) AS m{i}" for i in places],
     ).first()
     n = known["n"]
-    complete = {c: known[f"c{i}"]["mean"] for i, c in enumerate(columns)
-                if known[f"c{i}"]["count"] == n > 0}
-
-    def centred(c: str) -> Column:
-        return F.coalesce(F.col(c) - F.lit(complete[c]), F.lit(0.0))
-
-    values = shown.select(
-        *[F.col(c) for c in columns], *[centred(c).alias(f"d_{c}") for c in complete]
-    )
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    shared = [(a, b) for a, b in pairs if a in complete and b in complete]
-    own = [p for p in pairs if p not in shared]
-    sums = values.agg(
-        *[F.sum(f"d_{c}").alias(f"s_{c}") for c in complete],
-        *[F.sum(F.col(f"d_{a}") * F.col(f"d_{b}")).alias(f"p_{a}_{b}") for a, b in shared],
-        *[F.corr(a, b).alias(f"r_{a}_{b}") for a, b in own],
+    complete = {i for i in places if known[f"n{i}"] == n}
+
+    def centred(i: int) -> str:
+        mean = known[f"m{i}"]
+        shift = f"c{i} - {mean!r}D" if mean is not None and math.isfinite(mean) else f"c{i}"
+        return f"coalesce({shift}, 0D)" if i in complete else shift
+
+    pairs = [(i, j) for i in places for j in places if i <= j]
+    sums = {f"s{i}": f"sum(d{i})" for i in complete}
+    for i, j in pairs:
+        sums[f"xy{i}_{j}"] = f"sum(d{i} * d{j})"
+        if not complete.issuperset((i, j)):
+            sums[f"n{i}_{j}"] = f"count(d{i} * d{j})"
+            for name, value, other in (("x", i, j), ("y", j, i)):
+                sums[f"{name}{i}_{j}"] = f"sum(if(d{other} IS NULL, NULL, d{value}))"
+                sums[f"{name}{name}{i}_{j}"] = f"sum(if(d{other} IS NULL, NULL, d{value} * d{value}))"
+    totals = (
+        shown.selectExpr(*[f"{centred(i)} AS d{i}" for i in places])
+        .selectExpr(*[f"{e} AS {name}" for name, e in sums.items()])
+        .first()
     )
 
-    def covariance(a: str, b: str) -> Column:
-        return F.col(f"p_{a}_{b}") - F.col(f"s_{a}") * F.col(f"s_{b}") / max(n, 1)
-
-    def coefficient(a: str, b: str) -> Column:
-        if (a, b) in own:
-            return F.when(~F.isnan(f"r_{a}_{b}"), F.col(f"r_{a}_{b}"))
-        spread = covariance(a, a) * covariance(b, b)
-        return F.when(spread > 0, covariance(a, b) / F.sqrt(spread))
-
+    def coefficient(i: int, j: int) -> float | None:
+        if complete.issuperset((i, j)):
+            rows, x, y = n, totals[f"s{i}"], totals[f"s{j}"]
+            xx, yy, xy = (totals[f"xy{a}_{b}"] for a, b in ((i, i), (j, j), (i, j)))
+        else:
+            rows, x, y, xx, yy, xy = (
+                totals[f"{name}{i}_{j}"] for name in ("n", "x", "y", "xx", "yy", "xy")
+            )
+        if not rows:
+            return None
+        spreads = [max(square - total * total / rows, 0.0) for square, total in ((xx, x), (yy, y))]
+        scale = math.sqrt(spreads[0]) * math.sqrt(spreads[1])
+        return (xy - x * y / rows) / scale if scale > 0 else None
+
+    found = {p: coefficient(*p) for p in pairs}
     cells = [
-        F.struct(F.lit(x).alias("col_x"), F.lit(y).alias("col_y"), coefficient(a, b).alias("corr"))
-        for a, b in pairs
-        for x, y in dict.fromkeys([(a, b), (b, a)])
+        (columns[i], columns[j], found[min(i, j), max(i, j)]) for i in places for j in places
     ]
-    return sums.select(F.inline(F.array(*cells)))
+    return inline_table(df.sparkSession, cells, "col_x string, col_y string, corr double")
 
 
 # exp(-z * z / 2) is below half a unit in the last place of 1.0 beyond this z.
 KERNEL_REACH = 9.0
 
 
-def _range_of(df: DataFrame, *measures: str) -> Column:
-    """Scalar subquery struct with ``lo_<m>`` and ``hi_<m>`` as doubles."""
-    fields = []
-    for m in measures:
-        fields += [
-            F.min(m).cast("double").alias(f"lo_{m}"), F.max(m).cast("double").alias(f"hi_{m}")
-        ]
-    return df.agg(F.struct(*fields).alias("r")).scalar()
+def _range_of(df: DataFrame, *measures: str) -> dict[str, tuple[Column, Column]]:
+    """Minimum and maximum of each measure as constants; one scan, run when called."""
+    row = df.selectExpr(
+        *[f"cast({end}(`{m}`) AS double) AS {end}{i}"
+          for i, m in enumerate(measures) for end in ("min", "max")]
+    ).first()
+    return {
+        m: (F.lit(row[f"min{i}"]).cast("double"), F.lit(row[f"max{i}"]).cast("double"))
+        for i, m in enumerate(measures)
+    }
 
 
 def histogram(df: DataFrame, measure: str, bins: int) -> DataFrame:
@@ -108,8 +121,7 @@ def histogram(df: DataFrame, measure: str, bins: int) -> DataFrame:
 
     A constant column is put in a range of width 1 around its value.
     """
-    r = _range_of(df, measure)
-    lo, hi = r[f"lo_{measure}"], r[f"hi_{measure}"]
+    lo, hi = _range_of(df, measure)[measure]
     flat = lo == hi
     low, high = F.when(flat, lo - 0.5).otherwise(lo), F.when(flat, hi + 0.5).otherwise(hi)
     x = F.col(measure).cast("double")
@@ -231,10 +243,10 @@ def binned_pairs(
     df: DataFrame, x: str, y: str, by: str, x_bins: int = 50, y_bins: int = 50
 ) -> DataFrame:
     """Two measures coloured by class, as counts per ``(x_bin, y_bin, class)`` cell."""
-    r = _range_of(df, x, y)
+    ranges = _range_of(df, x, y)
 
     def cell(m: str, bins: int) -> Column:
-        return bin_index(F.col(m).cast("double"), r[f"lo_{m}"], r[f"hi_{m}"], bins)
+        return bin_index(F.col(m).cast("double"), *ranges[m], bins)
 
     return (
         df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
