@@ -50,3 +50,46 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "i
     renamed = facts.withColumnsRenamed({k: f"__{k}" for k in keys})
     condition = " AND ".join(f"`{k}` <=> `__{k}`" for k in keys)
     return rows.join(renamed, F.expr(condition), how).drop(*[f"__{k}" for k in keys])
+
+
+# Rows of one join key that one task may be asked to take.
+SPREAD_ROWS = 4_000_000
+
+
+def spread_join(
+    rows: DataFrame,
+    facts: DataFrame,
+    row_key: str,
+    fact_key: str,
+    spread_by: str,
+    limit: int = SPREAD_ROWS,
+) -> DataFrame:
+    """Inner equi-join of ``rows`` to ``facts`` (one row per key), hot keys spread.
+
+    A key with more than ``limit`` rows is divided over several tasks by a hash
+    of ``spread_by``, and its one fact row is repeated for each of them. There
+    can be no more such keys than rows divided by ``limit``. Keys are only
+    counted if the table is large enough to have one; without any, this is the
+    plain join.
+    """
+    plain = rows.join(facts, F.col(row_key) == F.col(fact_key))
+    if rows.count() <= limit:
+        return plain
+    hot = settle(
+        rows.groupBy(F.col(row_key).alias("__hot"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where((F.col("__n") > limit) & F.col("__hot").isNotNull())
+        .select("__hot", F.ceil(F.col("__n") / limit).alias("__parts"))
+    )
+    if hot.isEmpty():
+        return plain
+    parts = F.coalesce("__parts", F.lit(1))
+    part = F.pmod(F.xxhash64(spread_by), parts)
+    left = rows.join(hot, F.col(row_key) == F.col("__hot"), "left").select(
+        *rows.columns, part.alias("__part")
+    )
+    right = facts.join(hot, F.col(fact_key) == F.col("__hot"), "left").select(
+        *facts.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("__copy")
+    )
+    same = (F.col(row_key) == F.col(fact_key)) & (F.col("__part") == F.col("__copy"))
+    return left.join(right, same).drop("__part", "__copy")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import month_name
+from tidemark.operators.keyed_joins import spread_join
 from tidemark.sources.files import read_table
 from tidemark.sources.schemas import CONTACT_SCHEMA
 
@@ -19,10 +20,10 @@ def contacts_from_orders(spark: SparkSession, folder: str, keep_key: bool = Fals
 
     Every per-customer and per-order fact is a plain aggregate over primitive
     buffers (hash aggregation with map-side combine), so a customer that owns a
-    third of all orders costs one partial row per task. The joins that follow
-    are equi-joins on unique keys that adaptive execution may split when a key
-    is hot; the nation and region sides are broadcast by Spark itself from
-    their file sizes.
+    third of all orders costs one partial row per task. Joining these facts
+    back to the orders spreads such a customer over many tasks; the other joins
+    are on keys that are unique on both sides. Nation and region are broadcast
+    by Spark itself, from their file sizes.
     """
     orders = read_table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
@@ -54,7 +55,7 @@ def contacts_from_orders(spark: SparkSession, folder: str, keep_key: bool = Fals
         customer.join(per_customer, F.col("c_custkey") == F.col("h_custkey"))
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    joined = orders.join(people, F.col("o_custkey") == F.col("c_custkey")).join(
+    joined = spread_join(orders, people, "o_custkey", "c_custkey", "o_orderkey").join(
         per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
 
