@@ -103,3 +103,17 @@ def test_failure_is_raised(spark, keyed, tmp_path):
 def test_nothing_to_replay(tmp_path):
     with pytest.raises(ValueError):
         replay([], "job", "balance", str(tmp_path))
+
+
+def test_state_partitions_follow_the_cores(spark, keyed, tmp_path):
+    keyed.write.parquet(str(tmp_path / "in"))
+    stream = read_parquet_stream(spark, str(tmp_path / "in"), keyed.schema)
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        table = lv.LiveTable(lv.segment_totals(stream, "job", "balance"), str(tmp_path / "live"))
+        table.drain()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    state = tmp_path / "live" / "checkpoint" / "state" / "0"
+    assert len([p for p in state.iterdir() if p.name.isdigit()]) == 4

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,24 @@ def segment_totals(df: DataFrame, key: str, measure: str, digits: int = 2) -> Da
     )
 
 
+@contextmanager
+def _few_state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start a stream with no more state partitions than there are cores.
+
+    Each state partition is a task and several files in every batch. Segments
+    are few and already combined on the map side, so more partitions than cores
+    hold nothing. A stream fixes its number at its first start; the session's
+    setting is put back at once.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_memory_table(live: DataFrame, name: str, available_now: bool = False) -> StreamingQuery:
     """Complete-mode aggregate in the in-memory table ``name``.
 
@@ -37,7 +56,8 @@ def start_memory_table(live: DataFrame, name: str, available_now: bool = False)
     writer = live.writeStream.outputMode("complete").format("memory").queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    with _few_state_partitions(live.sparkSession):
+        return writer.start()
 
 
 def query_status(query: StreamingQuery) -> dict:
@@ -51,12 +71,15 @@ def query_status(query: StreamingQuery) -> dict:
     }
 
 
-def drain(writer: DataStreamWriter, timeout_sec: float = DRAIN_TIMEOUT_SEC) -> None:
+def drain(
+    spark: SparkSession, writer: DataStreamWriter, timeout_sec: float = DRAIN_TIMEOUT_SEC
+) -> None:
     """Process everything that has arrived, then stop.
 
     Raises the query's own error if it fails, ``TimeoutError`` if it does not end.
     """
-    query = writer.trigger(availableNow=True).start()
+    with _few_state_partitions(spark):
+        query = writer.trigger(availableNow=True).start()
     try:
         if not query.awaitTermination(timeout_sec):
             raise TimeoutError(f"stream {query.name} still busy after {timeout_sec} s")
@@ -67,13 +90,15 @@ def drain(writer: DataStreamWriter, timeout_sec: float = DRAIN_TIMEOUT_SEC) -> N
 def drain_to_memory(live: DataFrame, timeout_sec: float = DRAIN_TIMEOUT_SEC) -> DataFrame:
     """Drain a complete-mode aggregate into a fresh in-memory table."""
     name = f"live_{uuid.uuid4().hex}"
-    drain(live.writeStream.outputMode("complete").format("memory").queryName(name), timeout_sec)
+    writer = live.writeStream.outputMode("complete").format("memory").queryName(name)
+    drain(live.sparkSession, writer, timeout_sec)
     return live.sparkSession.table(name)
 
 
 def drain_rows(stream: DataFrame, folder: str, timeout_sec: float = DRAIN_TIMEOUT_SEC) -> DataFrame:
     """Append the stream's rows to Parquet under ``folder`` and read them back."""
     drain(
+        stream.sparkSession,
         stream.writeStream.outputMode("append")
         .format("parquet")
         .option("checkpointLocation", f"{folder}/checkpoint")
@@ -105,6 +130,7 @@ class LiveTable:
 
     def drain(self, timeout_sec: float = DRAIN_TIMEOUT_SEC) -> None:
         drain(
+            self.spark,
             self.live.writeStream.outputMode("complete")
             .option("checkpointLocation", f"{self.folder}/checkpoint")
             .foreachBatch(self._writer()),
