@@ -109,12 +109,15 @@ def test_importances(fitted, keyed):
     table = mo.feature_importances(fitted, keyed)
     rows = {r["feature"]: r["importance"] for r in table.collect()}
     assert sum(rows.values()) == pytest.approx(1)
-    assert max(rows, key=rows.get) == "duration"
+    # the fixture ties y to every eighth row, which both of these columns reveal;
+    # which one the trees prefer depends on how the rows were bagged
+    assert max(rows, key=rows.get) in ("duration", "month_ohe_jan")
 
 
-def test_training_rows_fill_the_cores(spark, keyed):
+def test_few_partitions_are_spread_over_the_cores(keyed):
     few = keyed.select("age").coalesce(1)
-    kept = mo._training_rows(few)
-    assert kept.select(F.spark_partition_id()).distinct().count() == 4
-    assert kept.count() == 240
-    kept.unpersist()
+    spread = mo.fill_cores(few)
+    assert spread.select(F.spark_partition_id()).distinct().count() == 4
+    assert sorted(spread.collect()) == sorted(few.collect())
+    many = keyed.repartition(6)
+    assert mo.fill_cores(many) is many

@@ -55,21 +55,17 @@ class FittedModels:
         return scored.withColumn("p_positive", vector_to_array("probability")[1])
 
 
-def _training_rows(df: DataFrame) -> DataFrame:
-    """Persisted rows in at least one partition per core.
+def fill_cores(df: DataFrame) -> DataFrame:
+    """``df`` in at least one partition per core.
 
-    Training passes over its input many times, so rows that lie in fewer
-    partitions than there are cores are spread out once. Input of any size that
-    already fills the cores stays where it is.
+    Training and scoring cost far more per row than moving it, so rows that lie
+    in fewer partitions than there are cores are spread out. Input that already
+    fills the cores, as any large table does, stays where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.select(F.spark_partition_id()).distinct().count() >= cores:
-        return kept
-    spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-    spread.count()
-    kept.unpersist()
-    return spread
+    if df.select(F.spark_partition_id()).distinct().count() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def fit_models(
@@ -86,10 +82,13 @@ def fit_models(
     disk) for exactly the time of training.
     """
     estimators = estimators or {LOGISTIC: logistic_regression(), FOREST: random_forest()}
+    train = fill_cores(train.select(*categorical, *numeric, target))
     features = fit_features(train, categorical, numeric)
-    labelled = binary_label(train, target, positive)
-    ready = _training_rows(
-        features.transform(labelled).where(F.col("label").isNotNull()).select("label", "features")
+    labelled = binary_label(train, target, positive).where(F.col("label").isNotNull())
+    ready = (
+        features.transform(labelled)
+        .select("label", "features")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
         classifiers = {name: e.fit(ready) for name, e in estimators.items()}
@@ -116,6 +115,7 @@ def evaluate_scored(scored: DataFrame) -> DataFrame:
 
 def compare_models(fitted: FittedModels, test: DataFrame) -> DataFrame:
     """``(model, auc, accuracy, f1, precision, recall)`` for each classifier."""
+    test = fill_cores(test)
     return append_snapshots(
         *[
             evaluate_scored(fitted.score(test, name)).select(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidemark.operators.grouping import history_peak
 from tidemark.operators.ordering import top_rows
 from tidemark.operators.sampling import assign_batches
