@@ -40,7 +40,7 @@ def partition_totals(spark, sf_dir):
     n = spark.sparkContext.defaultParallelism
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey")
     sizes = partition_sizes(spread_evenly(orders, n))
-    inputs = orders.rdd.getNumPartitions()
+    inputs = partition_sizes(orders).count()
     return sizes.agg(
         F.sum("rows").alias("rows"),
         (F.max("rows") - F.min("rows") <= inputs).alias("balanced"),
