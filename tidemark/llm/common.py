@@ -81,25 +81,19 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         low = both.groupBy("a").agg(F.min("b").alias("low"))
         low = low.select("a", F.least("a", "low").alias("low"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-        small = small.union(low.select("a", F.col("low").alias("b"))).distinct()
-        nexts = write_through(small, label)
-        #: A star forest: no node that is linked to a lower one is itself the lower end of a link.
-        open_ends = nexts.select("a").join(nexts.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count()
-        links = nexts
-        if not open_ends and not _several_roots(links):
+        links = write_through(small.union(low.select("a", F.col("low").alias("b"))).distinct(), label)
+        # Stars, if no node has two lower ends and no lower end has one itself.
+        twice = links.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+        passed = links.select("a").join(links.select(F.col("b").alias("a")), "a", "left_semi")
+        if not twice.union(passed).limit(1).count():
             break
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
 
 
-def _several_roots(links: DataFrame) -> bool:
-    return bool(links.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").limit(1).count())
-
-
 # ---------------------------------------------------------------- word hashes
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
