@@ -19,11 +19,15 @@ BITS = 64
 def window_size(n: int) -> tuple[int, int]:
     """Step and size of the windows, in shingles, for items of ``n`` shingles.
 
-    Items of one size class, from a power of two to the next, share them. A
-    window is three steps and an item at least four, so any run of ``n``
-    shingles of a document holds a whole window that begins at a multiple of the step.
+    Items of one size class, from a power of two to the next, share them; all
+    from 16 on are one class. A window is three steps and an item at least four,
+    so any run of ``4 * step - 1`` shingles of a document holds a whole window
+    that begins at a multiple of the step. A window of an item's size that is
+    similar to it at 0.8 has lost at most a ninth of its shingles, a changed word
+    inside at least four; the longest run between changes then still holds a
+    window that has none.
     """
-    step = max(1, (1 << (n.bit_length() - 1)) // 4)
+    step = max(1, min(4, (1 << (n.bit_length() - 1)) // 4))
     return step, 3 * step if n >= 3 else 1
 
 
