@@ -133,19 +133,20 @@ def cross_tab(
     """Counts of ``column_key`` values as columns, absent combinations as 0.
 
     Conditional counts need one shuffle where a pivot needs two. Without a value
-    list the values are looked up first, within Spark's own pivot limit.
+    list the values are looked up first, within Spark's own pivot limit; rows
+    without a value are counted in a column ``null`` if there are any.
     """
     if values is None:
         limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
         found = (
-            df.select(column_key).where(F.col(column_key).isNotNull()).distinct()
-            .limit(limit + 1).collect()
+            df.select(column_key).distinct().limit(limit + 1).collect()
         )
         if len(found) > limit:
             raise ValueError(f"{column_key} has more than {limit} values; pass a value list")
-        values = sorted(row[0] for row in found)
+        values = sorted(row[0] for row in found if row[0] is not None)
+        values += [None] * any(row[0] is None for row in found)
     return df.groupBy(row_key).agg(
-        *[F.count_if(F.col(column_key) == v).alias(str(v)) for v in values]
+        *[F.count_if(F.col(column_key).eqNullSafe(F.lit(v))).alias("null" if v is None else str(v)) for v in values]
     )
 
 

@@ -9,22 +9,20 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-# Rows up to which a settled result is kept on the driver: a few MB.
-SETTLE_LIMIT = 50_000
 
-
-def settle(df: DataFrame, bounded: bool = False, limit: int = SETTLE_LIMIT) -> DataFrame:
+def settle(df: DataFrame, bounded: bool = False) -> DataFrame:
     """Compute ``df`` once and return it without its lineage.
 
-    Up to ``limit`` rows it becomes a local relation, whose known size lets Spark
-    broadcast it. Beyond that it is checkpointed to the shared folder named by
-    ``spark.checkpoint.dir`` and later joins shuffle. ``bounded`` skips the check
-    where the caller's own arguments already bound the rows.
+    Where the caller's own arguments bound the rows (``bounded``) it becomes a
+    local relation. Else it is written to the shared folder and read back; Spark
+    then knows its size and chooses the joins by it.
     """
-    head = df.toArrow() if bounded else df.limit(limit + 1).toArrow()
-    if bounded or head.num_rows <= limit:
-        return df.sparkSession.createDataFrame(head, df.schema)
-    return checkpointed(df)
+    spark = df.sparkSession
+    if bounded:
+        return spark.createDataFrame(df.toArrow(), df.schema)
+    path = scratch_path(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -37,8 +37,9 @@ def classification_scores(
     df: DataFrame, label: str, prediction: str, positive: int = 1
 ) -> DataFrame:
     """One row: rows, accuracy, support-weighted F1, precision and recall of
-    ``positive``. Everything follows from the confusion counts of one scan."""
-    cells = df.groupBy(
+    ``positive``. Everything follows from the confusion counts of one scan. Rows
+    without a label or a prediction are not evaluated."""
+    cells = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).groupBy(
         F.col(label).cast("int").alias("actual"), F.col(prediction).cast("int").alias("guess")
     ).agg(F.count(F.lit(1)).alias("n"))
     zero = F.lit(0).cast("bigint")

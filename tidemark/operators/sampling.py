@@ -10,10 +10,10 @@ def stable_bucket(key: Column, buckets: int, seed: int | None = 42) -> Column:
     """Bucket 0 .. ``buckets - 1`` of a row key.
 
     A seeded hash by default; ``seed=None`` takes an integer key modulo
-    ``buckets``, which any other system can repeat.
+    ``buckets``, which any other system can repeat. A null key is in bucket 0.
     """
     base = key.cast("bigint") if seed is None else F.xxhash64(key, F.lit(seed))
-    return F.pmod(base, F.lit(buckets)).cast("int")
+    return F.coalesce(F.pmod(base, F.lit(buckets)), F.lit(0)).cast("int")
 
 
 def keyed_split(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.models import compare_models, feature_importances
 from tidemark.operators.partitioning import (
+    SWEEP_COUNTS,
     fastest_setting,
     partition_sizes,
     spread_evenly,
@@ -27,11 +28,9 @@ from tidemark.sources.files import read_table
 
 # The sweep counts 1, 2, 4, 8, 16 as multiples of the session's parallelism, so
 # that no setting puts a whole large table into one task.
-SWEEP_FACTORS = [1, 2, 4, 8, 16]
-
 
 def sweep_partitions(spark) -> dict[int, int]:
-    return {f: f * spark.sparkContext.defaultParallelism for f in SWEEP_FACTORS}
+    return {f: f * spark.sparkContext.defaultParallelism for f in SWEEP_COUNTS}
 
 
 @query("l1_partition_totals", 'SELECT count(*) AS "rows", true AS balanced FROM orders')
@@ -55,7 +54,7 @@ WITH a AS (
          {rnd("avg(l_extendedprice)", 4)} AS avg_l_extendedprice, count(*) AS "rows"
   FROM lineitem GROUP BY l_returnflag, l_linestatus
 )
-SELECT a.*, f AS partitions FROM a, (VALUES (1), (2), (4), (8), (16)) AS v(f)""",
+SELECT a.*, f AS factor FROM a, (VALUES (1), (2), (4), (8), (16)) AS v(f)""",
 )
 def sweep(spark, sf_dir):
     """The same aggregate at five partition counts, labelled by their factor."""
@@ -64,6 +63,7 @@ def sweep(spark, sf_dir):
         read_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], measures,
         sweep_partitions(spark),
     )
+    results = results.withColumnRenamed("partitions", "factor")
     return results.withColumns({f"avg_{m}": F.round(f"avg_{m}", 4) for m in measures})
 
 

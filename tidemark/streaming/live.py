@@ -13,8 +13,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.types import LongType, StructType
 
 from tidemark.operators.grouping import roll_up_segments
-
-DRAIN_TIMEOUT_SEC = 3600
+from tidemark.session import scratch_path
 
 
 def segment_totals(df: DataFrame, key: str, measure: str, digits: int = 2) -> DataFrame:
@@ -54,6 +53,7 @@ def start_memory_table(live: DataFrame, name: str, available_now: bool = False)
     The table lives on the driver: for interactive use with few segments.
     """
     writer = live.writeStream.outputMode("complete").format("memory").queryName(name)
+    writer = writer.option("checkpointLocation", scratch_path(live.sparkSession, "memory"))
     if available_now:
         writer = writer.trigger(availableNow=True)
     with _few_state_partitions(live.sparkSession):
@@ -72,30 +72,34 @@ def query_status(query: StreamingQuery) -> dict:
 
 
 def drain(
-    spark: SparkSession, writer: DataStreamWriter, timeout_sec: float = DRAIN_TIMEOUT_SEC
+    spark: SparkSession, writer: DataStreamWriter, timeout_sec: float | None = None
 ) -> None:
     """Process everything that has arrived, then stop.
 
-    Raises the query's own error if it fails, ``TimeoutError`` if it does not end.
+    Raises the query's own error if it fails, ``TimeoutError`` if it does not end
+    within ``timeout_sec``, where that is given.
     """
     with _few_state_partitions(spark):
         query = writer.trigger(availableNow=True).start()
     try:
-        if not query.awaitTermination(timeout_sec):
+        if timeout_sec is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_sec):
             raise TimeoutError(f"stream {query.name} still busy after {timeout_sec} s")
     finally:
         query.stop()
 
 
-def drain_to_memory(live: DataFrame, timeout_sec: float = DRAIN_TIMEOUT_SEC) -> DataFrame:
+def drain_to_memory(live: DataFrame, timeout_sec: float | None = None) -> DataFrame:
     """Drain a complete-mode aggregate into a fresh in-memory table."""
     name = f"live_{uuid.uuid4().hex}"
     writer = live.writeStream.outputMode("complete").format("memory").queryName(name)
+    writer = writer.option("checkpointLocation", scratch_path(live.sparkSession, "memory"))
     drain(live.sparkSession, writer, timeout_sec)
     return live.sparkSession.table(name)
 
 
-def drain_rows(stream: DataFrame, folder: str, timeout_sec: float = DRAIN_TIMEOUT_SEC) -> DataFrame:
+def drain_rows(stream: DataFrame, folder: str, timeout_sec: float | None = None) -> DataFrame:
     """Append the stream's rows to Parquet under ``folder`` and read them back."""
     drain(
         stream.sparkSession,
@@ -128,7 +132,7 @@ class LiveTable:
 
         return write
 
-    def drain(self, timeout_sec: float = DRAIN_TIMEOUT_SEC) -> None:
+    def drain(self, timeout_sec: float | None = None) -> None:
         drain(
             self.spark,
             self.live.writeStream.outputMode("complete")
