@@ -90,7 +90,7 @@ def scan_licenses(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     Units are hashed where they are read; no document text is shuffled.
     """
     canon = canonical(F.col("text"))
-    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), canon.alias("canon")).where("canon is not null")
+    texts = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("key"), canon.alias("canon"))
     units = texts.select(
         "doc_id", "key",
         F.array_distinct(F.concat(
