@@ -50,14 +50,3 @@ def test_bin_index(spark, value, expected):
 
 def test_bin_index_of_a_point(spark):
     assert one(spark, x.bin_index(F.lit(4.0), F.lit(4.0), F.lit(4.0), 10)) == 0
-
-
-@settings(max_examples=10, deadline=None)
-@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=2, max_size=50))
-def test_magnitude_slot_keeps_order(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    rows = df.select("v", x.magnitude_slot(F.col("v")).alias("s")).collect()
-    slots = [r["s"] for r in sorted(rows, key=lambda r: r["v"])]
-    assert slots == sorted(slots)
-    assert all(abs(s) <= x.MAX_SLOTS // 2 for s in slots)
-    assert math.log1p(1.7976931348623157e308) < 710

@@ -4,41 +4,35 @@ from pyspark.sql import functions as F
 from tidemark.operators import keyed_joins as kj
 
 
-@pytest.fixture(scope="module")
-def sides(spark):
-    # key 0 holds a third of the rows
-    rows = spark.range(3000).select(
-        F.col("id").alias("row_id"),
-        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") == 1, None).otherwise(F.col("id") % 97)
-        .alias("row_key"),
-    )
-    facts = spark.range(90).select(F.col("id").alias("fact_key"), (F.col("id") * 2).alias("fact"))
-    return rows, facts
-
-
-@pytest.mark.parametrize("limit", [10, 100, 500, 5000])
-def test_spread_join_equals_the_plain_join(sides, limit):
-    rows, facts = sides
-    want = sorted(rows.join(facts, F.col("row_key") == F.col("fact_key")).collect())
-    got = kj.spread_join(rows, facts, "row_key", "fact_key", "row_id", limit)
-    assert got.columns == ["row_id", "row_key", "fact_key", "fact"]
-    assert sorted(got.collect()) == want
-
-
-def test_hot_key_goes_to_several_tasks(spark, sides):
-    rows, facts = sides
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_running_sums(spark, by, descending):
+    # group 0 holds two thirds of the rows, one group is null
+    data = [(None if i % 7 == 1 else int(i % 3 == 1), float((i * 7919) % 1009), i % 5) for i in range(1000)]
+    df = spark.createDataFrame(data, "k int, x double, v int").repartition(6)
+    rows = kj.running_sums(df, "x", ["v"], by, descending).collect()
+    assert len(rows) == len(data)
+    sums = {}
+    for k, x, v in sorted(data, key=lambda r: -r[1] if descending else r[1]):
+        group = k if by else 0
+        sums[x] = sums.get(("all", group), 0)
+        sums["all", group] = sums[x] + v
+    for r in rows:
+        assert r["v_before"] == sums[r["x"]]
+        assert r["v_total"] == sums["all", r["k"] if by else 0]
+
+
+def test_running_sums_deal_a_crowd_of_small_values_to_several_tasks(spark):
+    crowd = spark.range(20_000).select((F.col("id") * 1e-12).alias("x"), F.lit(1).alias("v"))
+    df = crowd.union(spark.createDataFrame([(0.0155, 1)], "x double, v int"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        def tasks(limit):
-            joined = kj.spread_join(rows, facts, "row_key", "fact_key", "row_id", limit)
-            return joined.where("row_key = 0").select(F.spark_partition_id()).distinct().count()
-
-        assert tasks(5000) == 1
-        assert tasks(100) > 1
+        ranged = df.repartitionByRange(F.asc("x")).groupBy(F.spark_partition_id()).count().collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r["count"] for r in ranged) <= 3 * 20_001 / parts
+    assert kj.running_sums(df, "x", ["v"]).where("v_before = 20000").first()["x"] == 0.0155
 
 
 def test_attach_matches_null_keys(spark):

@@ -114,10 +114,10 @@ def test_importances(fitted, keyed):
     assert max(rows, key=rows.get) in ("duration", "month_ohe_jan")
 
 
-def test_few_partitions_are_spread_over_the_cores(keyed):
-    few = keyed.select("age").coalesce(1)
-    spread = mo.fill_cores(few)
-    assert spread.select(F.spark_partition_id()).distinct().count() == 4
-    assert sorted(spread.collect()) == sorted(few.collect())
-    many = keyed.repartition(6)
-    assert mo.fill_cores(many) is many
+def test_training_rows_lie_by_their_values_alone(spark):
+    rows = spark.range(300).select((F.col("id") % 40).alias("a"), (F.col("id") % 7).alias("b"))
+
+    def layout(df):
+        return mo.laid_out(df, 4).select(F.spark_partition_id().alias("p"), "a", "b").collect()
+
+    assert layout(rows.repartition(4)) == layout(rows.repartition(8))

@@ -15,6 +15,8 @@ SHAPES = {
     "heavy_tail": np.exp(rng.normal(0, 15, 2500)) * rng.choice([-1, 1], 2500),
     "narrow": 1e6 + rng.random(2000) * 1e-6,
     "outlier": np.append(rng.random(1000), 1e300),
+    "small_and_one": np.append(rng.random(4000) * 1e-6, 0.0155),
+    "many": rng.normal(0, 1, 60_000),
     "constant": np.full(50, 3.25),
     "two": np.array([1.0, 2.0]),
     "single": np.array([5.0]),

@@ -71,16 +71,6 @@ def bin_index(x: Column, low: Column, high: Column, bins: int | Column) -> Colum
     )
 
 
-# Fixed resolution of ``magnitude_slot``. log1p of the largest double is below
-# 710, so there are never more than 2 * 710 * 64 + 1 slots, whatever the data.
-SLOTS_PER_LOG_UNIT = 64
-MAX_SLOTS = 2 * 710 * SLOTS_PER_LOG_UNIT + 1
-
-
-def magnitude_slot(x: Column) -> Column:
-    """An order-preserving coarse bucket that needs no prior look at the data.
-
-    ``a <= b`` implies ``slot(a) <= slot(b)``, and at most ``MAX_SLOTS``
-    different values exist, which bounds everything grouped by it.
-    """
-    return F.floor(F.signum(x) * F.log1p(F.abs(x)) * SLOTS_PER_LOG_UNIT)
+def has_value(name: str) -> Column:
+    """Whether a number is there: neither null nor NaN. All profiles and metrics leave out the others."""
+    return F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))

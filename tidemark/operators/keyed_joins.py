@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -50,44 +50,44 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "i
     return rows.join(renamed, F.expr(condition), how).drop(*[f"__{k}" for k in keys])
 
 
-# Rows of one join key that one task may be asked to take.
-SPREAD_ROWS = 4_000_000
-
-
-def spread_join(
-    rows: DataFrame,
-    facts: DataFrame,
-    row_key: str,
-    fact_key: str,
-    spread_by: str,
-    limit: int = SPREAD_ROWS,
+def running_sums(
+    df: DataFrame,
+    order: str,
+    sums: Sequence[str],
+    by: Sequence[str] = (),
+    descending: bool = False,
 ) -> DataFrame:
-    """Inner equi-join of ``rows`` to ``facts`` (one row per key), hot keys spread.
-
-    A key with more than ``limit`` rows is divided over several tasks by a hash
-    of ``spread_by``, and its one fact row is repeated for each of them. There
-    can be no more such keys than rows divided by ``limit``. Keys are only
-    counted if the table is large enough to have one; without any, this is the
-    plain join.
+    """``df`` with ``{c}_before`` and ``{c}_total`` for each column of ``sums``.
+
+    ``{c}_before`` sums the rows of the same ``by`` that come earlier in
+    ``order``, whose values differ within a group. Rows are dealt out by ranges
+    that Spark samples from the data and written with the number of their range;
+    a group of any size lies in as many ranges as its share of the rows. Sums
+    run inside each range, and the totals of the ranges before it, one row per
+    range and group, are added.
     """
-    plain = rows.join(facts, F.col(row_key) == F.col(fact_key))
-    if rows.count() <= limit:
-        return plain
-    hot = settle(
-        rows.groupBy(F.col(row_key).alias("__hot"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where((F.col("__n") > limit) & F.col("__hot").isNotNull())
-        .select("__hot", F.ceil(F.col("__n") / limit).alias("__parts"))
+    keys = list(by)
+    along = F.desc(order) if descending else F.asc(order)
+    ranged = settle(
+        df.repartitionByRange(*keys, along).withColumn("__range", F.spark_partition_id())
+    )
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    earlier = whole.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    inside = (
+        Window.partitionBy(*keys, "__range").orderBy(along)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    none = F.lit(0)
+    starts = ranged.groupBy(*keys, "__range").agg(*[F.sum(c).alias(c) for c in sums]).select(
+        *keys, "__range",
+        *[F.coalesce(F.sum(c).over(earlier), none).alias(f"__{c}_start") for c in sums],
+        *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
     )
-    if hot.isEmpty():
-        return plain
-    parts = F.coalesce("__parts", F.lit(1))
-    part = F.pmod(F.xxhash64(spread_by), parts)
-    left = rows.join(hot, F.col(row_key) == F.col("__hot"), "left").select(
-        *rows.columns, part.alias("__part")
+    local = ranged.withColumns(
+        {f"{c}_before": F.coalesce(F.sum(c).over(inside), none) for c in sums}
     )
-    right = facts.join(hot, F.col(fact_key) == F.col("__hot"), "left").select(
-        *facts.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("__copy")
+    return (
+        attach(local, starts, [*keys, "__range"])
+        .withColumns({f"{c}_before": F.col(f"{c}_before") + F.col(f"__{c}_start") for c in sums})
+        .drop("__range", *[f"__{c}_start" for c in sums])
     )
-    same = (F.col(row_key) == F.col(fact_key)) & (F.col("__part") == F.col("__copy"))
-    return left.join(right, same).drop("__part", "__copy")

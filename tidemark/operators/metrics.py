@@ -8,14 +8,11 @@ from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import bin_index, flag, magnitude_slot, ratio
-from tidemark.operators.keyed_joins import attach, settle
-
-# Bins shared out among the slots of ``roc_points`` by their number of scores.
-ROC_BINS = 8192
+from tidemark.functions.expressions import flag, has_value, ratio
+from tidemark.operators.keyed_joins import running_sums
 
 
 def confusion_matrix(
@@ -75,68 +72,29 @@ def classification_scores(
 def roc_points(df: DataFrame, label: str, score: str, positive: int = 1) -> DataFrame:
     """``(score, pos, neg, cum_pos, cum_neg, tpr, fpr)``: one row per distinct score.
 
-    A running sum over one global order would put every score into one task.
-    Here scores fall into order-preserving slots and, within a slot, into bins
-    whose number follows the rows the slot holds. Two scans find the slots and
-    the class counts per bin, both bounded in number and settled when the
-    function is called. Running totals over the bins give each bin its start;
-    the third scan merges rows per distinct score and sums inside the bins, all
-    bins in parallel.
+    Rows are merged per distinct score, combining on the map side; the scores
+    are then summed up range by range (``running_sums``), so no task holds more
+    than its range. Rows without a label or a score (null or NaN) are left out.
     """
     is_positive = F.col(label) == positive
-    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
-        F.col(score).cast("double").alias("score"),
-        flag(is_positive).alias("pos"),
-        flag(~is_positive).alias("neg"),
-    ).withColumn("slot", magnitude_slot(F.col("score")))
-
-    # at most MAX_SLOTS rows
-    slots = settle(
-        rows.groupBy("slot")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"))
-        .select(
-            "slot", "lo", "hi",
-            F.ceil(ROC_BINS * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
-            .alias("bins"),
-        ),
-        bounded=True,
-    )
-    binned = attach(rows, slots, ["slot"]).select(
-        "slot", bin_index(F.col("score"), F.col("lo"), F.col("hi"), F.col("bins")).alias("bin"),
-        "score", "pos", "neg",
-    )
-
-    # at most MAX_SLOTS + ROC_BINS rows
-    everything = Window.partitionBy(F.lit(0))
-    downwards = everything.orderBy(F.desc("slot"), F.desc("bin"))
-    starts = settle(
-        binned.groupBy("slot", "bin")
-        .agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-        .select(
-            "slot", "bin",
-            (F.sum("p").over(downwards) - F.col("p")).alias("pos_before"),
-            (F.sum("n").over(downwards) - F.col("n")).alias("neg_before"),
-            F.sum("p").over(everything).alias("all_pos"),
-            F.sum("n").over(everything).alias("all_neg"),
-        ),
-        bounded=True,
-    )
-
-    in_bin = Window.partitionBy("slot", "bin").orderBy(F.desc("score"))
     per_score = (
-        binned.groupBy("slot", "bin", "score")
+        df.where(F.col(label).isNotNull() & has_value(score))
+        .select(
+            F.col(score).cast("double").alias("score"),
+            flag(is_positive).alias("pos"),
+            flag(~is_positive).alias("neg"),
+        )
+        .groupBy("score")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .withColumn("pos_upto", F.sum("pos").over(in_bin))
-        .withColumn("neg_upto", F.sum("neg").over(in_bin))
     )
     return (
-        attach(per_score, starts, ["slot", "bin"])
-        .withColumn("cum_pos", F.col("pos_before") + F.col("pos_upto"))
-        .withColumn("cum_neg", F.col("neg_before") + F.col("neg_upto"))
+        running_sums(per_score, "score", ["pos", "neg"], descending=True)
+        .withColumn("cum_pos", F.col("pos_before") + F.col("pos"))
+        .withColumn("cum_neg", F.col("neg_before") + F.col("neg"))
         .select(
             "score", "pos", "neg", "cum_pos", "cum_neg",
-            ratio(F.col("cum_pos"), F.col("all_pos"), None).alias("tpr"),
-            ratio(F.col("cum_neg"), F.col("all_neg"), None).alias("fpr"),
+            ratio(F.col("cum_pos"), F.col("pos_total"), None).alias("tpr"),
+            ratio(F.col("cum_neg"), F.col("neg_total"), None).alias("fpr"),
         )
     )
 

@@ -55,17 +55,13 @@ class FittedModels:
         return scored.withColumn("p_positive", vector_to_array("probability")[1])
 
 
-def fill_cores(df: DataFrame) -> DataFrame:
-    """``df`` in at least one partition per core.
+# Partitions of the training rows. Bagging draws row by row in each, so a forest depends on it.
+TRAIN_PARTITIONS = 32
 
-    Training and scoring cost far more per row than moving it, so rows that lie
-    in fewer partitions than there are cores are spread out. Input that already
-    fills the cores, as any large table does, stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.select(F.spark_partition_id()).distinct().count() >= cores:
-        return df
-    return df.repartition(cores)
+
+def laid_out(df: DataFrame, partitions: int) -> DataFrame:
+    """``df`` in a fixed layout that follows from its values alone, however it was partitioned."""
+    return df.repartition(partitions, F.xxhash64(*df.columns)).sortWithinPartitions(*df.columns)
 
 
 def fit_models(
@@ -75,16 +71,19 @@ def fit_models(
     target: str,
     positive: str,
     estimators: dict | None = None,
+    partitions: int = TRAIN_PARTITIONS,
 ) -> FittedModels:
     """Fit the feature stages once and every classifier on their result.
 
-    The two columns that training iterates over are kept in memory (spilling to
-    disk) for exactly the time of training.
+    Rows are laid out over ``partitions`` by their values, so results do not
+    follow the input's partitions; take more for more rows. The two columns that
+    training iterates over are kept in memory (spilling to disk) for exactly the
+    time of training.
     """
     estimators = estimators or {LOGISTIC: logistic_regression(), FOREST: random_forest()}
-    train = fill_cores(train.select(*categorical, *numeric, target))
+    train = train.select(*categorical, *numeric, target)
     features = fit_features(train, categorical, numeric)
-    labelled = binary_label(train, target, positive).where(F.col("label").isNotNull())
+    labelled = binary_label(laid_out(train, partitions), target, positive).where(F.col("label").isNotNull())
     ready = (
         features.transform(labelled)
         .select("label", "features")
@@ -115,7 +114,6 @@ def evaluate_scored(scored: DataFrame) -> DataFrame:
 
 def compare_models(fitted: FittedModels, test: DataFrame) -> DataFrame:
     """``(model, auc, accuracy, f1, precision, recall)`` for each classifier."""
-    test = fill_cores(test)
     return append_snapshots(
         *[
             evaluate_scored(fitted.score(test, name)).select(

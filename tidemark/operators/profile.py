@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import bin_index
+from tidemark.functions.expressions import bin_index, has_value
 from tidemark.operators.keyed_joins import attach, settle
 from tidemark.operators.quantiles import quantile_row
 from tidemark.sources.files import inline_table
@@ -100,15 +100,15 @@ def correlation_matrix(
     return inline_table(df.sparkSession, cells, "col_x string, col_y string, corr double")
 
 
-# exp(-z * z / 2) is below half a unit in the last place of 1.0 beyond this z.
-KERNEL_REACH = 9.0
+# Beyond this z, exp(-z * z / 2) is zero as a double: no part of the sum is cut.
+KERNEL_REACH = 39.0
 
 
 def _range_of(df: DataFrame, *measures: str) -> dict[str, tuple[Column, Column]]:
     """Minimum and maximum of each measure as constants; one scan, run when called."""
-    row = df.selectExpr(
-        *[f"cast({end}(`{m}`) AS double) AS {end}{i}"
-          for i, m in enumerate(measures) for end in ("min", "max")]
+    row = df.agg(
+        *[end(F.when(has_value(m), F.col(m).cast("double"))).alias(f"{name}{i}")
+          for i, m in enumerate(measures) for name, end in (("min", F.min), ("max", F.max))]
     ).first()
     return {
         m: (F.lit(row[f"min{i}"]).cast("double"), F.lit(row[f"max{i}"]).cast("double"))
@@ -127,7 +127,7 @@ def histogram(df: DataFrame, measure: str, bins: int) -> DataFrame:
     x = F.col(measure).cast("double")
     # a zero for every bin makes the empty ones appear without a join
     none = df.sparkSession.range(bins).select(F.col("id").alias("bin"), F.lit(0).alias("n"))
-    filled = df.where(F.col(measure).isNotNull()).select(
+    filled = df.where(has_value(measure)).select(
         bin_index(x, low, high, bins).alias("bin"), F.lit(1).alias("n")
     )
     width = (high - low) / bins
@@ -161,9 +161,7 @@ def density(
     money; turn it off where almost every value is different.
     """
     keys = list(by)
-    rows = df.select(*keys, F.col(measure).cast("double").alias("v")).where(
-        F.col("v").isNotNull()
-    )
+    rows = df.where(has_value(measure)).select(*keys, F.col(measure).cast("double").alias("v"))
     low, high, n = F.min("v"), F.max("v"), F.count(F.lit(1))
     stats = settle(
         rows.groupBy(*keys).agg(
@@ -213,9 +211,7 @@ def box_statistics(
     interquartile range of the box, or at the box if there are none.
     """
     keys = list(by)
-    rows = df.select(*keys, F.col(measure).cast("double").alias("v")).where(
-        F.col("v").isNotNull()
-    )
+    rows = df.where(has_value(measure)).select(*keys, F.col(measure).cast("double").alias("v"))
     quartiles = quantile_row(rows, "v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
     placed = attach(rows, quartiles, keys)
     reach = whisker * (F.col("q3") - F.col("q1"))
@@ -249,7 +245,7 @@ def binned_pairs(
         return bin_index(F.col(m).cast("double"), *ranges[m], bins)
 
     return (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+        df.where(has_value(x) & has_value(y))
         .groupBy(cell(x, x_bins).alias("x_bin"), cell(y, y_bins).alias("y_bin"), by)
         .agg(F.count(F.lit(1)).alias("count"))
     )

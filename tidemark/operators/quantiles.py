@@ -1,51 +1,37 @@
 """Exact, linearly interpolated quantiles without sorting or shuffling the rows.
 
-Three column-pruned scans narrow in on the wanted ranks:
-
-1. rows per order-preserving magnitude slot: which slot holds each rank;
-2. rows per equal-width bin, only inside those slots: which bin holds it;
-3. rows per distinct value, only inside those bins: the value itself.
-
-A scan is left out if every slot or bin found holds a single value, as with ages
-or counts. Each scan combines on the map side, so what is shuffled is bounded by slots,
-bins and the values of the few bins left, never by the table. A value that a
-third of the rows share is one entry. The result does not depend on how the
-data is distributed; a bad distribution only leaves more values for step 3.
+Two column-pruned scans. The first sketches each group; the sketch's known rank
+error gives a bracket of values around each wanted rank. The second counts rows
+per value inside the brackets and per gap between them, combining on the map
+side: what is shuffled are the gaps and the values of a few ten-thousandths of
+the rows. Running sums over these entries give the exact ranks. A value that a
+third of the rows share is one entry. The result does not depend on how the data
+is distributed.
 
 The scans run when the function is called, as with Spark's own
-``approxQuantile``: what one finds (a few numbers per group and rank) is settled
-before the next, so a later filter or join sees it as data of known size.
+``approxQuantile``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import bin_index, magnitude_slot
-from tidemark.operators.keyed_joins import attach, settle
+from tidemark.functions.expressions import has_value
+from tidemark.operators.keyed_joins import attach, running_sums, settle
 
-BINS_PER_SLOT = 4096
-# Ranges up to which scans 2 and 3 filter rows before they join.
-MAX_RANGES = 64
-
-
-# The wanted ranks that fall into ``n`` rows from ``before``, counted from there.
-RANKS_WITHIN = """
-    transform(
-      filter(ranks, r -> r.rank >= before AND r.rank < before + n),
-      r -> named_struct('prob', r.prob, 'fraction', r.fraction, 'rank', r.rank - before))
-"""
+# Rank error of the sketch: rows of the group divided by this.
+ACCURACY = 10_000
 
 
 def _wanted_ranks(probs: Sequence[float]) -> str:
     """Both neighbours of each interpolated position among ``total`` values."""
     entries = []
-    for p in map(float, probs):
+    for p in probs:
         position = f"({p!r}D * (total - 1))"
         for end in ("floor", "ceil"):
             entries.append(
@@ -55,23 +41,17 @@ def _wanted_ranks(probs: Sequence[float]) -> str:
     return f"array({', '.join(entries)})"
 
 
-def _near(values: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows whose ``x`` lies in one of the found ranges, as a constant filter.
-
-    Skips most rows at the scan, before the join that decides exactly. Left out
-    where there are too many ranges for a filter.
-    """
-    ranges = found.select("low", "high").limit(MAX_RANGES + 1).collect()
-    if not ranges or len(ranges) > MAX_RANGES:
-        return values
-    merged: list[list[float]] = []
-    for low, high in sorted((r["low"], r["high"]) for r in ranges):
-        if merged and low <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], high)
-        else:
-            merged.append([low, high])
-    inside = [F.col("x").between(low, high) for low, high in merged]
-    return values.where(reduce(or_, inside))
+# The wanted ranks that fall into an entry. A gap can only hold one at its edge,
+# next to a bracket; its least or greatest value is then the one.
+HELD = """
+    transform(
+      filter(ranks, r -> r.rank >= n_before AND r.rank < n_before + n),
+      r -> named_struct(
+        'prob', r.prob, 'fraction', r.fraction,
+        'x', CASE WHEN r.rank = n_before OR low = high THEN low
+                  WHEN r.rank = n_before + n - 1 THEN high
+                  ELSE raise_error('rank outside its bracket') END))
+"""
 
 
 def quantiles(
@@ -86,76 +66,37 @@ def quantiles(
     """
     keys = list(by)
     one_group = not keys
-    values = df.select(*keys, F.col(measure).cast("double").alias("x")).where(
-        "x IS NOT NULL AND NOT isnan(x)"
-    )
-    tallies = [F.expr(e) for e in ("count(1) AS n", "min(x) AS low", "max(x) AS high")]
-
-    def before(*group: str, order: str) -> Column:
-        """Rows of the group that come before the current entry."""
-        window = Window.partitionBy(*(group or [F.lit(0)])).orderBy(order)
-        return (F.sum("n").over(window) - F.col("n")).alias("before")
-
-    # 1. which slot
-    whole = Window.partitionBy(*(keys or [F.lit(0)]))
-    slots = settle(
-        values.groupBy(*keys, magnitude_slot(F.col("x")).alias("slot"))
-        .agg(*tallies)
-        .select("*", before(*keys, order="slot"), F.sum("n").over(whole).alias("total"))
-        .withColumn("ranks", F.expr(_wanted_ranks(probs)))
-        .select(*keys, "slot", "low", "high", F.expr(RANKS_WITHIN).alias("ranks"))
-        .where("size(ranks) > 0"),
+    probs = sorted({float(p) for p in probs})
+    x = F.col("x")
+    values = df.where(has_value(measure)).select(*keys, F.col(measure).cast("double").alias("x"))
+
+    slack = 2 / ACCURACY
+    edges = [e for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack))]
+    sketch = settle(
+        values.groupBy(*keys)
+        .agg(F.expr("count(1) AS total"), F.percentile_approx("x", edges, ACCURACY).alias("edges"))
+        .where("total > 0")
+        .select(*keys, "total", *[F.col("edges")[i].alias(f"e{i}") for i in range(len(edges))]),
         one_group,
     )
 
-    def interpolated(found: DataFrame) -> DataFrame:
-        return settle(
-            found.groupBy(*keys, "prob").agg(
-                F.expr("min(x) + (max(x) - min(x)) * min(fraction) AS quantile")
-            ),
-            one_group,
-        )
-
-    def single_values(found: DataFrame) -> bool:
-        return found.where("low < high").isEmpty()
-
-    if single_values(slots):
-        return interpolated(slots.select(*keys, F.col("low").alias("x"), F.expr("inline(ranks)")))
-
-    # 2. which bin of the slot
-    def binned(rows: DataFrame) -> DataFrame:
-        slotted = rows.select("*", magnitude_slot(F.col("x")).alias("slot"))
-        bin_ = bin_index(F.col("x"), F.col("low"), F.col("high"), BINS_PER_SLOT)
-        return attach(slotted, slots.drop("ranks"), [*keys, "slot"]).select(
-            *keys, "slot", "x", bin_.alias("bin")
-        )
-
-    bins = (
-        binned(_near(values, slots))
-        .groupBy(*keys, "slot", "bin")
-        .agg(*tallies)
-        .select("*", before(*keys, "slot", order="bin"))
+    placed = attach(values, sketch, keys)
+    lows, highs = [F.col(f"e{i}") for i in range(0, len(edges), 2)], [F.col(f"e{i}") for i in range(1, len(edges), 2)]
+    inside = reduce(or_, [x.between(low, high) for low, high in zip(lows, highs, strict=True)])
+    gap = reduce(add, [F.when(x > high, 1).otherwise(0) for high in highs])
+    entries = placed.groupBy(
+        *keys, F.when(inside, x).alias("value"), F.when(~inside, gap).alias("gap")
+    ).agg(F.expr("count(1) AS n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    counted = running_sums(entries.drop("value", "gap"), "low", ["n"], keys)
+    found = counted.withColumnRenamed("n_total", "total").withColumn(
+        "ranks", F.expr(_wanted_ranks(probs))
     )
-    bins = settle(
-        attach(bins, slots.drop("low", "high"), [*keys, "slot"])
-        .select(*keys, "slot", "bin", "low", "high", F.expr(RANKS_WITHIN).alias("ranks"))
-        .where("size(ranks) > 0"),
+    return settle(
+        found.select(*keys, F.expr(f"inline({HELD})"))
+        .groupBy(*keys, "prob")
+        .agg(F.expr("min(x) + (max(x) - min(x)) * min(fraction) AS quantile")),
         one_group,
     )
-    if single_values(bins):
-        return interpolated(bins.select(*keys, F.col("low").alias("x"), F.expr("inline(ranks)")))
-
-    # 3. which value of the bin
-    in_bins = attach(
-        binned(_near(values, bins)), bins.select(*keys, "slot", "bin"), [*keys, "slot", "bin"]
-    )
-    exact = (
-        in_bins.groupBy(*keys, "slot", "bin", "x")
-        .agg(F.expr("count(1) AS n"))
-        .select("*", before(*keys, "slot", "bin", order="x"))
-    )
-    found = attach(exact, bins.drop("low", "high"), [*keys, "slot", "bin"])
-    return interpolated(found.select(*keys, "x", F.expr(f"inline({RANKS_WITHIN})")))
 
 
 def quantile_row(
