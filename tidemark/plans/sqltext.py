@@ -17,19 +17,16 @@ WITH per_order AS (
          bool_or(l_discount >= 0.1) AS discounted,
          bool_or(l_linestatus = 'O') AS any_open
   FROM lineitem GROUP BY l_orderkey
-), per_customer AS (
-  SELECT o_custkey AS h_custkey, count(*) AS n_orders,
-         count(*) FILTER (WHERE o_orderstatus = 'F') AS n_done,
-         count(*) FILTER (WHERE o_orderstatus = 'O') AS n_open,
-         min(o_orderdate) AS first_date
-  FROM orders GROUP BY o_custkey
-), joined AS (
-  SELECT *, o_orderdate = first_date AS is_first,
-         n_done - CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS others_done,
-         n_open - CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS others_open
+), history AS (
+  SELECT *, row_number() OVER earlier - 1 AS n_before,
+         lag(o_orderdate) OVER earlier AS last_date,
+         lag(o_orderstatus) OVER earlier AS last_status
   FROM orders
+  WINDOW earlier AS (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST)
+), joined AS (
+  SELECT *
+  FROM history
   JOIN customer ON o_custkey = c_custkey
-  JOIN per_customer ON o_custkey = h_custkey
   JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
   LEFT JOIN per_order ON o_orderkey = l_orderkey
@@ -47,11 +44,11 @@ WITH per_order AS (
          lower(strftime(o_orderdate, '%b')) AS "month",
          cast(coalesce(quantity, 0) AS integer) AS duration,
          cast(coalesce(lines, 0) AS integer) AS campaign,
-         cast(CASE WHEN is_first THEN -1
-              ELSE date_diff('day', first_date, o_orderdate) END AS integer) AS pdays,
-         cast(CASE WHEN is_first THEN 0 ELSE n_orders - 1 END AS integer) AS previous,
-         CASE WHEN is_first THEN 'unknown' WHEN others_done > others_open THEN 'success'
-              WHEN others_open > others_done THEN 'failure' ELSE 'other' END AS poutcome,
+         cast(CASE WHEN n_before = 0 THEN -1
+              ELSE date_diff('day', last_date, o_orderdate) END AS integer) AS pdays,
+         cast(n_before AS integer) AS previous,
+         CASE WHEN n_before = 0 THEN 'unknown' WHEN last_status = 'F' THEN 'success'
+              WHEN last_status = 'O' THEN 'failure' ELSE 'other' END AS poutcome,
          CASE WHEN o_orderstatus = 'F' THEN 'yes' ELSE 'no' END AS y
   FROM joined
 )

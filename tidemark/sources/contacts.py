@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import month_name
-from tidemark.operators.keyed_joins import spread_join
 from tidemark.sources.files import read_table
 from tidemark.sources.schemas import CONTACT_SCHEMA
 
@@ -15,15 +14,47 @@ def _yes_no(condition: Column) -> Column:
     return F.when(condition, "yes").otherwise("no")
 
 
+def with_history(orders: DataFrame) -> DataFrame:
+    """``orders`` with ``n_before, last_date, last_status``: the customer's earlier orders, and the last of them.
+
+    Order is by date, then key, nulls first. A window holds the orders of one
+    customer and month; what it ends with, one row, goes into a second window
+    over the customer's months, and its offsets are added to the orders.
+    """
+    inside = Window.partitionBy("o_custkey", "h_month").orderBy("o_orderdate", "o_orderkey")
+    last = F.struct("o_orderdate", "o_orderstatus")
+    own = orders.withColumn("h_month", F.trunc("o_orderdate", "month")).select(
+        "*",
+        F.row_number().over(inside).alias("h_place"),
+        F.lag(last).over(inside).alias("h_own"),
+        F.lead(F.lit(1)).over(inside).isNull().alias("h_ends"),
+    )
+    months = Window.partitionBy("o_custkey").orderBy("h_month")
+    ends = own.where("h_ends").select(
+        F.col("o_custkey").alias("m_custkey"),
+        F.col("h_month").alias("m_month"),
+        (F.sum("h_place").over(months) - F.col("h_place")).alias("m_before"),
+        F.lag(last).over(months).alias("m_last"),
+    )
+    same = F.col("o_custkey").eqNullSafe(F.col("m_custkey")) & F.col("h_month").eqNullSafe(F.col("m_month"))
+    before = F.coalesce("h_own", "m_last")
+    return own.join(ends, same).select(
+        *orders.columns,
+        (F.col("m_before") + F.col("h_place") - 1).alias("n_before"),
+        before["o_orderdate"].alias("last_date"),
+        before["o_orderstatus"].alias("last_status"),
+    )
+
+
 def contacts_from_orders(spark: SparkSession, folder: str, keep_key: bool = False) -> DataFrame:
     """Orders seen as campaign contacts, in ``CONTACT_SCHEMA``.
 
-    Every per-customer and per-order fact is a plain aggregate over primitive
-    buffers (hash aggregation with map-side combine), so a customer that owns a
-    third of all orders costs one partial row per task. Joining these facts
-    back to the orders spreads such a customer over many tasks; the other joins
-    are on keys that are unique on both sides. Nation and region are broadcast
-    by Spark itself, from their file sizes.
+    Facts of an order are a plain aggregate with map-side combine. A customer's
+    history looks only backwards (``with_history``) and is never in one task as
+    a whole. Where customers are too many to broadcast, the join to them is one
+    that adaptive execution splits for a customer with very many orders; the
+    last join is on keys that are unique on both sides. Nation and region are
+    broadcast by Spark itself, from their file sizes.
     """
     orders = read_table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
@@ -45,23 +76,14 @@ def contacts_from_orders(spark: SparkSession, folder: str, keep_key: bool = Fals
             F.max(F.when(F.col("l_linestatus") == "O", 1).otherwise(0)).alias("any_open"),
         )
     )
-    per_customer = orders.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.count_if(F.col("o_orderstatus") == "F").alias("n_done"),
-        F.count_if(F.col("o_orderstatus") == "O").alias("n_open"),
-        F.min("o_orderdate").alias("first_date"),
-    ).withColumnRenamed("o_custkey", "h_custkey")
-    people = (
-        customer.join(per_customer, F.col("c_custkey") == F.col("h_custkey"))
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-    )
-    joined = spread_join(orders, people, "o_custkey", "c_custkey", "o_orderkey").join(
-        per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"
+    people = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = (
+        with_history(orders)
+        .join(people, F.col("o_custkey") == F.col("c_custkey"))
+        .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     )
 
-    is_first = F.col("o_orderdate") == F.col("first_date")
-    others_done = F.col("n_done") - F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)
-    others_open = F.col("n_open") - F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)
+    is_first = F.col("n_before") == 0
     columns = {
         "age": 18 + F.col("c_custkey") % 65,
         "job": F.col("c_mktsegment"),
@@ -79,12 +101,12 @@ def contacts_from_orders(spark: SparkSession, folder: str, keep_key: bool = Fals
         "duration": F.coalesce("quantity", F.lit(0.0)),
         "campaign": F.coalesce("lines", F.lit(0)),
         "pdays": F.when(is_first, -1).otherwise(
-            F.datediff(F.col("o_orderdate").cast("date"), F.col("first_date").cast("date"))
+            F.datediff(F.col("o_orderdate").cast("date"), F.col("last_date").cast("date"))
         ),
-        "previous": F.when(is_first, 0).otherwise(F.col("n_orders") - 1),
+        "previous": F.col("n_before"),
         "poutcome": F.when(is_first, "unknown")
-        .when(others_done > others_open, "success")
-        .when(others_open > others_done, "failure")
+        .when(F.col("last_status") == "F", "success")
+        .when(F.col("last_status") == "O", "failure")
         .otherwise("other"),
         "y": _yes_no(F.col("o_orderstatus") == "F"),
     }
