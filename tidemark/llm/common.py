@@ -184,6 +184,9 @@ def shingles(words: np.ndarray, k: int = 5) -> np.ndarray:
 
 def occurrence(values: np.ndarray) -> np.ndarray:
     """How often the same value stands before each position."""
+    ranked = np.sort(values)
+    if not (ranked[1:] == ranked[:-1]).any():
+        return np.zeros(values.size, np.int64)
     order = np.argsort(values, kind="stable")
     ranked = values[order]
     first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
