@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import oracles
 from tidemark.llm.common import read
@@ -13,6 +14,7 @@ from tidemark.llm.language import identify_languages
 from tidemark.llm.licenses import known_notices, scan_licenses
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.near_dedup import near_classes
+from tidemark.llm.negatives import mine_negatives, scaled_vectors
 from tidemark.llm.privacy import find_personal_data
 from tidemark.llm.quality import quality_rules
 from tidemark.llm.scoring import labelled_target, score_documents
@@ -61,11 +63,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, labelled_target(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = scaled_vectors(read(spark, sf_dir, "embeddings").withColumn("label", turned))
+    return mine_negatives(vectors, F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_source_mixing, op3_language_id, op4_benchmark_decontamination, op5_quality_rules,
         op6_personal_data, op7_near_dedup, op8_url_filters, op9_license_scans, op10_lm_scoring,
+        op11_hard_negatives,
     )
 }
 
@@ -74,4 +83,5 @@ SQL: dict[str, str] = {
     "op2_source_mixing": oracles.SOURCE_MIXING,
     "op5_quality_rules": oracles.QUALITY_RULES,
     "op9_license_scans": oracles.LICENSE_SCANS,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
 }
