@@ -62,9 +62,9 @@ def test_odd_rows(spark):
 
 
 def test_large_components_are_exact_or_held(spark):
-    rows = [(0, [2.0**20, 3.0], 1), (1, [2.0**20, 5.0], 1), (2, [2.0**19, 1.0], 2), (3, [1e30, 0.0], 1), (4, [2.0**19, 2.0], 2)]
+    rows = [(0, [2.0**20, 3.0], 1), (1, [2.0**20, 5.0], 1), (2, [2.0**19, 1.0], 2), (3, [1e30, 0.0], 1), (4, [2.0**19, 4.0], 2)]
     got = mined(spark, rows, block_rows=2)
-    exact = 256**2 * (2**39 + 3 * 2)
+    exact = 256**2 * (2**39 + 3 * 4)
     assert (0, 1, 1, 4, 256**2 * (2**40 + 15), exact) in got
     assert (inner_products(*[scaled([r[1] for r in rows[:3]])] * 2)[0, 1]) == 256**2 * (2**40 + 15)
 

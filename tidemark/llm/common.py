@@ -107,6 +107,14 @@ _CLOSE[[ord(c) for c in ".!?\n"]] = True
 _PLAIN = _SPACE.copy()
 _PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = False
 
+#: Outlines: a for small letters and for all beyond ASCII, A for capitals, 0 for digits; runs of these are merged.
+_SIGNS = np.arange(256, dtype=np.uint8)
+_SIGNS[[b for b in range(256) if b > 127 or 97 <= b <= 122]] = ord("a")
+_SIGNS[ord("A") : ord("Z") + 1] = ord("A")
+_SIGNS[ord("0") : ord("9") + 1] = ord("0")
+_MERGED = np.zeros(256, bool)
+_MERGED[[ord("a"), ord("A"), ord("0")]] = True
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit numbers so that any bits of the result may serve as a hash."""
@@ -155,6 +163,15 @@ def _hashed(raw: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts, ends
 
 
+def outline_hashes(text: str) -> np.ndarray:
+    """A hash of each word's outline, in order: runs of small letters, of capitals and of digits are one sign each, marks stay."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    signs = _SIGNS[raw]
+    same = np.r_[False, (signs[1:] == signs[:-1]) & _MERGED[signs[1:]]] if signs.size else np.empty(0, bool)
+    signs = signs[~same]
+    return _hashed(signs, _SPACE[signs])[0]
+
+
 def plain_words(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and byte lengths of the words; ASCII characters other than letters and digits part them too."""
     raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)

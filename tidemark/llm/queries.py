@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import oracles
+from tidemark.llm.classifier import classify_quality
 from tidemark.llm.common import read
 from tidemark.llm.decontamination import find_contamination
 from tidemark.llm.language import identify_languages
@@ -69,12 +70,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_negatives(vectors, F.col("id") % 50 == 0)
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_source_mixing, op3_language_id, op4_benchmark_decontamination, op5_quality_rules,
         op6_personal_data, op7_near_dedup, op8_url_filters, op9_license_scans, op10_lm_scoring,
-        op11_hard_negatives,
+        op11_hard_negatives, op13_quality_classifier,
     )
 }
 
