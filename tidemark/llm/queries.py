@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import oracles
+from tidemark.llm.alignment import align_tokenizers, score_links
 from tidemark.llm.classifier import classify_quality
 from tidemark.llm.common import read
 from tidemark.llm.decontamination import find_contamination
@@ -70,6 +72,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_negatives(vectors, F.col("id") % 50 == 0)
 
 
+def tokenizer_file(name: str) -> str:
+    """A file of the public tokenizers, which are installed on every machine; ``TOKENIZERS`` names another folder."""
+    return os.path.join(os.environ.get("TOKENIZERS", "/opt/tokenizers"), name)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return score_links(align_tokenizers(read(spark, sf_dir, "documents"), *files))
+
+
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -79,7 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_substring_dedup, op2_source_mixing, op3_language_id, op4_benchmark_decontamination, op5_quality_rules,
         op6_personal_data, op7_near_dedup, op8_url_filters, op9_license_scans, op10_lm_scoring,
-        op11_hard_negatives, op13_quality_classifier,
+        op11_hard_negatives, op12_tokenizer_alignment, op13_quality_classifier,
     )
 }
 
