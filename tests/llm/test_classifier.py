@@ -68,7 +68,7 @@ def test_descent_solves_the_dual_problem():
 
 def test_ratios_and_indicators():
     held = np.array([[1.0, 3.0], [3.0, 1.0]])
-    assert np.allclose(log_count_ratios(held), np.log([(4 / 6) / (2 / 6), (2 / 6) / (4 / 6)]))
+    assert np.allclose(log_count_ratios(held, [6.0, 6.0], 1.0), np.log([(4 / 6) / (2 / 6), (2 / 6) / (4 / 6)]))
     assert indicators("a b a b", 20).size == len(set(indicators("a b a b", 20)))
     assert indicators("Éan Éan Éan", 20).size and not indicators("  \n", 20).size and not indicators(None, 20).size
     assert set(indicators("same same", 20)) != set(indicators("same other", 20))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,10 +40,12 @@ def indicators(text: str | None, bits: int) -> np.ndarray:
     return np.unique((np.concatenate(grams) >> np.uint64(64 - bits)).astype(np.int64))
 
 
-def log_count_ratios(held: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
-    """Of ``held[class, n-gram]``, the documents of each class with each n-gram, the log of the classes' shares' ratio."""
-    shares = (held + smoothing) / (held + smoothing).sum(axis=1, keepdims=True)
-    return np.log(shares[1] / shares[0])
+def log_count_ratios(held: np.ndarray, whole: Sequence[float], smoothing: float) -> np.ndarray:
+    """Of ``held[class, n-gram]``, the documents of each class with each n-gram, the log of the classes' shares' ratio.
+
+    ``whole`` is each class' sum of smoothed counts over all n-grams.
+    """
+    return np.log((held[1] + smoothing) / whole[1]) - np.log((held[0] + smoothing) / whole[0])
 
 
 def dual_coordinate_descent(
@@ -113,7 +115,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFram
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, bits: int = 20, least_documents: int = 3, cost: float = 1.0
+    docs: DataFrame, labels: DataFrame, fit_rows: int = 20_000, bits: int = 18, least_documents: int = 3,
+    cost: float = 1.0, smoothing: float = 1.0,
 ) -> QualityModel:
     """A model of ``labels (doc_id, quality)`` from the texts of ``docs (doc_id, text)`` alone.
 
@@ -139,27 +142,27 @@ def fit_quality(
     seen = training_rows(docs, labels, fit_rows).mapInArrow(look, "key long, class int, grams array<int>")
     seen = write_through(seen, "indicators")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((2, width), np.int64)
         for batch in batches:
             classes, grams = np.asarray(batch.column(1)), batch.column(2)
             each = np.repeat(classes, np.asarray(grams.value_lengths()))
             for c in (0, 1):
                 held[c] += np.bincount(np.asarray(grams.flatten())[each == c], minlength=width)
-        for c in (0, 1):
-            gram = np.flatnonzero(held[c])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(gram.size, c, np.int32)), pa.array(gram), pa.array(held[c][gram])], names=["class", "gram", "n"]
-            )
+        gram = np.flatnonzero(held.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(gram, pa.int32()), pa.array(held[0][gram]), pa.array(held[1][gram])], names=["gram", "n0", "n1"])
 
-    sums = seen.mapInArrow(count, "class int, gram long, n long").groupBy("class", "gram").agg(F.sum("n").alias("n")).toPandas()
-    held = np.zeros((2, width))
-    held[sums["class"].to_numpy(np.int64), sums["gram"].to_numpy(np.int64)] = sums["n"].to_numpy(np.float64)
+    sums = seen.mapInArrow(count, "gram int, n0 long, n1 long").groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    #: Sizes of the classes over all n-grams, and the n-grams that get a ratio: at most 2 ** bits rows.
+    often = sums.where(F.col("n0") + F.col("n1") >= least_documents).withColumns({c: F.col(c).cast("int") for c in ("n0", "n1")})
+    whole = sums.agg(F.sum(F.col("n0") + smoothing), F.sum(F.col("n1") + smoothing)).first()
     sizes = dict(seen.groupBy("class").count().collect())
     if len(sizes) < 2:
         bias = 1.0 if 1 in sizes else -1.0 if 0 in sizes else 0.0
         return QualityModel(bits, np.zeros(width, np.float32), np.zeros(width, np.float32), bias)
-    ratios = np.where(held.sum(axis=0) >= least_documents, log_count_ratios(held), 0.0).astype(np.float32)
+    counted = often.toPandas()
+    ratios = np.zeros(width, np.float32)
+    ratios[counted["gram"]] = log_count_ratios(counted[["n0", "n1"]].to_numpy(np.float64).T, whole, smoothing)
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
