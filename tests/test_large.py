@@ -85,7 +85,8 @@ def test_distinct_in_a_group_of_a_third_of_the_rows(spark):
 
 
 def test_partial_rows_of_a_hot_group_are_dealt_by_key_and_value(spark):
-    plan = sk.distinct_in_groups(spark.range(10).selectExpr("id % 3 as k", "id as v"), ["k"], "v")
+    df = spark.createDataFrame([(i % 3, i) for i in range(10)], "k long, v long")
+    plan = sk.distinct_in_groups(df, ["k"], "v")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(k#\d+L?, v#\d+L?", text)
 
