@@ -114,10 +114,22 @@ def test_importances(fitted, keyed):
     assert max(rows, key=rows.get) in ("duration", "month_ohe_jan")
 
 
-def test_training_rows_lie_by_their_values_alone(spark):
-    rows = spark.range(300).select((F.col("id") % 40).alias("a"), (F.col("id") % 7).alias("b"))
+def test_training_rows_lie_by_their_keys_alone(spark):
+    rows = spark.range(300).select("id", (F.col("id") % 7).alias("b"))
 
     def layout(df):
-        return mo.laid_out(df, 4).select(F.spark_partition_id().alias("p"), "a", "b").collect()
+        return mo.laid_out(df, ["id"]).select(F.spark_partition_id().alias("p"), "id", "b").collect()
 
     assert layout(rows.repartition(4)) == layout(rows.repartition(8))
+    assert len({r["p"] for r in layout(rows)}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert mo.laid_out(rows, ["id"], 3).rdd.getNumPartitions() == 3
+
+
+def test_importances_do_not_follow_the_input_partitions(keyed):
+    def importances(df):
+        fitted = mo.fit_models(
+            df, CATEGORICAL, NUMERIC, "y", "yes", {mo.FOREST: mo.random_forest(5, 3)}, key="contact_id"
+        )
+        return mo.feature_importances(fitted, df).collect()
+
+    assert importances(keyed.repartition(4)) == importances(keyed.repartition(8))

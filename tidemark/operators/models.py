@@ -55,13 +55,17 @@ class FittedModels:
         return scored.withColumn("p_positive", vector_to_array("probability")[1])
 
 
-# Partitions of the training rows. Bagging draws row by row in each, so a forest depends on it.
-TRAIN_PARTITIONS = 32
-
-
-def laid_out(df: DataFrame, partitions: int) -> DataFrame:
-    """``df`` in a fixed layout that follows from its values alone, however it was partitioned."""
-    return df.repartition(partitions, F.xxhash64(*df.columns)).sortWithinPartitions(*df.columns)
+def laid_out(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``df`` in a layout that follows from the row keys alone, however it was partitioned.
+
+    Bagging draws row by row in each partition, so a forest depends on the layout.
+    There are as many partitions as the session shuffles to, and so as many as
+    its data need, unless ``partitions`` fixes them for a result that no other
+    session changes. Keys that name a row deal rows out evenly; of equal keys
+    the order is open.
+    """
+    number = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(number, *keys).sortWithinPartitions(*keys)
 
 
 def fit_models(
@@ -71,19 +75,22 @@ def fit_models(
     target: str,
     positive: str,
     estimators: dict | None = None,
-    partitions: int = TRAIN_PARTITIONS,
+    key: str | None = None,
+    partitions: int | None = None,
 ) -> FittedModels:
     """Fit the feature stages once and every classifier on their result.
 
-    Rows are laid out over ``partitions`` by their values, so results do not
-    follow the input's partitions; take more for more rows. The two columns that
-    training iterates over are kept in memory (spilling to disk) for exactly the
-    time of training.
+    Rows are laid out by ``key``, which should name a row, else by all their
+    values; results then do not follow the input's partitions (see
+    :func:`laid_out`). The two columns that training iterates over are kept in
+    memory (spilling to disk) for exactly the time of training.
     """
     estimators = estimators or {LOGISTIC: logistic_regression(), FOREST: random_forest()}
-    train = train.select(*categorical, *numeric, target)
+    values = [*categorical, *numeric, target]
+    train = train.select(*([key] if key and key not in values else []), *values)
     features = fit_features(train, categorical, numeric)
-    labelled = binary_label(laid_out(train, partitions), target, positive).where(F.col("label").isNotNull())
+    placed = laid_out(train, [key] if key else values, partitions)
+    labelled = binary_label(placed, target, positive).where(F.col("label").isNotNull())
     ready = (
         features.transform(labelled)
         .select("label", "features")

@@ -46,7 +46,7 @@ def cross_validated_scores(
     def one(fold: int) -> DataFrame:
         fitted = fit_models(
             numbered.where(F.col("fold") != fold), categorical, numeric, target, positive,
-            {name: make() for name, make in candidates.items()},
+            {name: make() for name, make in candidates.items()}, key=key,
         )
         held = numbered.where(F.col("fold") == fold)
         scored = None

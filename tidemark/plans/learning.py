@@ -45,7 +45,7 @@ def contact_split(contacts):
 def fit_contacts(train, *names: str) -> FittedModels:
     known = {LOGISTIC: logistic_regression, FOREST: random_forest}
     chosen = {name: known[name]() for name in names or known}
-    return fit_models(train, CATEGORICAL, NUMERIC, TARGET, POSITIVE, chosen)
+    return fit_models(train, CATEGORICAL, NUMERIC, TARGET, POSITIVE, chosen, key="contact_id")
 
 
 def scored_documents(spark, sf_dir):

@@ -78,7 +78,8 @@ def model_invariants(spark, sf_dir):
     """What must hold of each model whatever it has learned, as numbers of rows for which it does."""
     train, test = keyed_split(stored_contacts(spark, sf_dir), "contact_id", seed=None)
     fitted = fit_models(
-        train, CATEGORICAL, NUMERIC, TARGET, POSITIVE, {LOGISTIC: logistic_regression(), FOREST: random_forest(20, 5)}
+        train, CATEGORICAL, NUMERIC, TARGET, POSITIVE, {LOGISTIC: logistic_regression(), FOREST: random_forest(20, 5)},
+        key="contact_id",
     )
     out = None
     for name in fitted.classifiers:
