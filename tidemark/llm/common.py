@@ -28,7 +28,20 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files of results of :func:`write_through` that nothing reads any more."""
+    for frame in frames:
+        discard_path(frame.sparkSession, frame.written_to)
+
+
+def discard_path(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def text_key(text: str = "text") -> Column:
@@ -76,7 +89,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     links = write_through(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), label
     )
+    past = []
     while True:
+        discard(*past)
+        past = [links]
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low"))
         low = low.select("a", F.least("a", "low").alias("low"))
@@ -89,6 +105,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         passed = links.select("a").join(links.select(F.col("b").alias("a")), "a", "left_semi")
         if not twice.union(passed).limit(1).count():
             break
+    discard(*past)
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
