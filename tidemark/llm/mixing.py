@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -39,6 +39,15 @@ def size_targets(sizes: DataFrame, weights: Sequence[int], share: float, most: i
     )
 
 
+def _row_key(seed: int) -> Column:
+    """60 bits that stand for a row's id and text, and for its place in the random order."""
+    return F.conv(
+        F.substring(F.md5(F.concat(
+            F.lit("" if seed == 0 else f"{seed}:"),
+            F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")),
+        )), 1, 15), 16, 10).cast("long")
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[int] = (5, 2, 1),
@@ -50,7 +59,7 @@ def mix_sources(
     """How many words of each document a mix of the sources takes, one row per row of ``docs``.
 
     Reads ``doc_id, text, source``; other columns are ignored. Returns ``doc_id,
-    source, size, source_size, target, taken``. Each source's rows are in the
+    source, key, size, source_size, target, taken``; the key stands for id and text. Each source's rows are in the
     order of a hash of id, text and seed. A target is whole epochs of the source
     and a remainder; the remainder ends inside the document where the running
     sum reaches it, so the words taken of a source are its target rounded down.
@@ -61,14 +70,9 @@ def mix_sources(
     table gives an empty one. A source may hold any part of the rows: ``buckets``
     ranges of the hash are sorted by themselves.
     """
-    key = F.conv(
-        F.substring(F.md5(F.concat(
-            F.lit("" if seed == 0 else f"{seed}:"),
-            F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit("")),
-        )), 1, 15), 16, 10).cast("long")
     sized = docs.select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        key.alias("key"),
+        _row_key(seed).alias("key"),
     )
     sized = write_through(sized, "mix").withColumn("bucket", F.floor(F.col("key") / F.lit((1 << 60) // buckets)))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -79,4 +83,27 @@ def mix_sources(
     epochs = F.when(F.col("source_size") > 0, F.floor(whole / F.col("source_size"))).otherwise(0)
     part = whole - epochs * F.col("source_size")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), part - F.col("before")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "key", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def mix_corpus(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: int = 2, seed: int = 0) -> DataFrame:
+    """The mix itself: ``docs`` with all columns and ``taken``, each text as many words long as :func:`mix_sources` takes of it.
+
+    A text that is taken several times stands so often, parted by line ends; one
+    that is taken in part is cut after a word, and keeps its white space up to
+    there. Documents of which nothing is taken are left out, and so are null and
+    empty texts. Equal ids, sources and texts are one row, whose words are taken
+    together. An empty table gives an empty one.
+    """
+    mix = mix_sources(docs, weights, share, most, seed=seed)
+    mix = mix.groupBy("doc_id", "source", "key").agg(F.sum("taken").alias("_mix_taken"), F.max("size").alias("_mix_size"))
+    mix = mix.where("_mix_taken > 0").withColumnsRenamed({c: f"_mix_{c}" for c in ("doc_id", "source", "key")})
+    rows = docs.withColumn("_mix_own", _row_key(seed))
+    on = rows["doc_id"].eqNullSafe(mix["_mix_doc_id"]) & rows["source"].eqNullSafe(mix["_mix_source"])
+    joined = rows.join(mix, on & (rows["_mix_own"] == mix["_mix_key"])).dropDuplicates(["_mix_doc_id", "_mix_source", "_mix_key"])
+    whole = F.floor(F.col("_mix_taken") / F.col("_mix_size")).cast("int")
+    part = (F.col("_mix_taken") % F.col("_mix_size")).cast("int")
+    words = F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), part)
+    texts = F.concat(F.array_repeat("text", whole), F.when(part > 0, F.array(F.array_join(words, ""))).otherwise(F.array()))
+    taken = "taken" if "taken" not in docs.columns else "mix_taken"
+    return joined.withColumn("text", F.array_join(texts, "\n")).select(*docs.columns, F.col("_mix_taken").alias(taken))
