@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer
@@ -58,6 +60,17 @@ def test_frequency_index_agrees_with_the_indexer(contacts):
         assert [ours[column][i] for i in range(len(labels))] == list(labels)
 
 
+def test_portable_hash_is_that_of_other_systems(spark):
+    df = spark.createDataFrame([(7,), (-3,), (None,)], "k long")
+    got = {r["k"]: tuple(r)[1:] for r in df.select("k", s.seeded_hash(F.col("k"), 42, True), s.stable_bucket(F.col("k"), 5, 42, True)).collect()}
+    want = {k: int(hashlib.md5(f"{k}:42".encode()).hexdigest()[:15], 16) for k in (7, -3)}
+    assert got == {None: (None, 0)} | {k: (n, n % 5) for k, n in want.items()}
+    rows = spark.range(500).withColumnRenamed("id", "k")
+    first = [s.sample_batch(rows, "k", 20, seed, True) for seed in (0, 0, 1)]
+    a, b, c = (sorted(r[0] for r in x.collect()) for x in first)
+    assert a == b != c and len(a) == 20
+
+
 def test_label_is_pinned_to_the_positive_class(spark):
     df = spark.createDataFrame([("yes",), ("yes",), ("no",), (None,)], "y string")
     got = [r["label"] for r in f.binary_label(df, "y", "yes").collect()]

@@ -6,25 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def stable_bucket(key: Column, buckets: int, seed: int | None = 42) -> Column:
+def seeded_hash(key: Column, seed: int, portable: bool = False) -> Column:
+    """A whole number that stands for a key and a seed.
+
+    ``portable`` takes 60 bits of the MD5 of ``key:seed`` in text, which any other
+    system can repeat; else a faster hash of Spark's own. A null key has a
+    number of its own, or null if portable.
+    """
+    if not portable:
+        return F.xxhash64(key, F.lit(seed))
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def stable_bucket(key: Column, buckets: int, seed: int | None = 42, portable: bool = False) -> Column:
     """Bucket 0 .. ``buckets - 1`` of a row key.
 
-    A seeded hash by default; ``seed=None`` takes an integer key modulo
-    ``buckets``, which any other system can repeat. A null key is in bucket 0.
+    A seeded hash by default (see :func:`seeded_hash`); ``seed=None`` takes an
+    integer key modulo ``buckets``. A null key is in bucket 0, but where it has a
+    hash of its own.
     """
-    base = key.cast("bigint") if seed is None else F.xxhash64(key, F.lit(seed))
+    base = key.cast("bigint") if seed is None else seeded_hash(key, seed, portable)
     return F.coalesce(F.pmod(base, F.lit(buckets)), F.lit(0)).cast("int")
 
 
 def keyed_split(
-    df: DataFrame, key: str, test_buckets: int = 1, buckets: int = 5, seed: int | None = 42
+    df: DataFrame, key: str, test_buckets: int = 1, buckets: int = 5, seed: int | None = 42, portable: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by key; the default holds out a fifth.
 
     Filters on an expression of the key: no shuffle, no sort, and the same rows
     on every run whatever the partitioning.
     """
-    bucket = stable_bucket(F.col(key), buckets, seed)
+    bucket = stable_bucket(F.col(key), buckets, seed, portable)
     return df.where(bucket >= test_buckets), df.where(bucket < test_buckets)
 
 
@@ -43,10 +57,10 @@ def assign_batches(
     return df.withColumn(batch_as, stable_bucket(F.col(key), batches, seed) + 1)
 
 
-def sample_batch(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
+def sample_batch(df: DataFrame, key: str, rows: int, seed: int, portable: bool = False) -> DataFrame:
     """Exactly ``rows`` rows without replacement, a new choice for each seed.
 
     The rows with the smallest seeded hashes: a per-task heap, so no task sees
     more than ``rows`` rows of another. Batches with different seeds may overlap.
     """
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(rows)
+    return df.orderBy(seeded_hash(F.col(key), seed, portable), key).limit(rows)

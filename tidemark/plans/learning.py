@@ -70,6 +70,18 @@ def split_by_key(spark, sf_dir):
     )
 
 
+@query(
+    "i1_seeded_split",
+    """SELECT o_orderkey, CASE WHEN ('0x' || substr(md5(o_orderkey || ':42'), 1, 15))::BIGINT % 5 >= 1 THEN 'train' ELSE 'test' END AS part
+       FROM orders""",
+)
+def seeded_split(spark, sf_dir):
+    """The split by a seeded hash of the key, by one that any system can repeat."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    train, test = keyed_split(orders, "o_orderkey", seed=42, portable=True)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
 INDEX_SQL = " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", "{c}" AS "value",
                cast(row_number() OVER (ORDER BY count(*) DESC, "{c}") - 1 AS integer) AS "index"

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from tidemark.operators.grouping import history_peak
 from tidemark.operators.ordering import top_rows
 from tidemark.operators.sampling import assign_batches
@@ -9,10 +13,10 @@ from tidemark.plans.registry import query
 from tidemark.plans.reports import streaming_report
 from tidemark.plans.sqltext import rnd
 from tidemark.session import scratch_path
-from tidemark.sources.files import read_table
+from tidemark.sources.files import inline_table, read_table
 from tidemark.sources.stream import read_parquet_stream
-from tidemark.streaming.live import LiveTable, drain_to_memory, segment_totals
-from tidemark.streaming.replay import disjoint_batches, replay
+from tidemark.streaming.live import LiveTable, drain_to_memory, query_status, segment_totals, start_memory_table
+from tidemark.streaming.replay import disjoint_batches, overlapping_batches, replay
 
 BATCHES = 5
 
@@ -78,6 +82,49 @@ def replay_batches(spark, sf_dir):
     return assign_batches(events, "event_id", BATCHES, seed=None)
 
 
+@query(
+    "j5_overlapping_replay",
+    f"""WITH drawn AS (
+  SELECT cast(s + 1 AS bigint) AS batch, event_type, value FROM events, range(0, {BATCHES}) AS r(s)
+  QUALIFY row_number() OVER (PARTITION BY s ORDER BY ('0x' || substr(md5(event_id || ':' || s), 1, 15))::BIGINT, event_id) <= 400
+), versions AS (
+  SELECT cast(b AS bigint) AS batch, event_type, count(*) AS txn_count, {rnd("avg(value)", 2)} AS avg_value
+  FROM drawn, range(1, {BATCHES + 1}) AS n(b) WHERE drawn.batch <= b GROUP BY b, event_type
+)
+SELECT batch, event_type, txn_count, avg_value FROM versions""",
+)
+def overlapping_replay(spark, sf_dir):
+    """Independent seeded samples of 400 events arrive one after the other; the table after each."""
+    events = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    batches = overlapping_batches(events, "event_id", BATCHES, 400, portable=True)
+    return replay(batches, "event_type", "value", scratch_path(spark, "overlap")).snapshots()
+
+
+@query(
+    "j3_query_status",
+    """SELECT 'running' AS state, true AS active, false AS failed, count(*) AS rows_seen FROM events
+UNION ALL SELECT 'stopped', false, false, count(*) FROM events""",
+)
+def query_states(spark, sf_dir):
+    """A named query after it has read all events, and after its stop; its table stays."""
+    name = f"events_{uuid.uuid4().hex}"
+    started = start_memory_table(event_totals(spark, sf_dir), name)
+    lines = []
+    try:
+        started.processAllAvailable()
+        lines.append(("running", query_status(started)))
+    finally:
+        started.stop()
+    lines.append(("stopped", query_status(started)))
+    if any(status["name"] != name for _, status in lines):
+        raise ValueError("the query lost its name")
+    seen = spark.table(name).agg(F.sum("txn_count")).first()[0]
+    return inline_table(
+        spark, [(state, s["active"], s["error"] is not None, seen) for state, s in lines],
+        "state string, active boolean, failed boolean, rows_seen bigint",
+    )
+
+
 @query("j6_batch_history", f"{VERSIONS} SELECT * FROM history")
 def batch_history(spark, sf_dir):
     return replayed(spark, sf_dir).history("avg_value")

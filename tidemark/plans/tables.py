@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import flag
-from tidemark.operators.grouping import average_for_value
+from tidemark.operators.grouping import append_snapshots, average_for_value
 from tidemark.operators.quantiles import trim_to_percentiles
 from tidemark.plans.registry import query
 from tidemark.plans.sqltext import rnd, with_contacts
-from tidemark.sources.catalog import drop_view, register_view, save_table, table_shape
+from tidemark.sources.catalog import drop_view, list_tables, preview, register_view, save_table, table_shape
 from tidemark.sources.contacts import contacts_from_orders
-from tidemark.sources.files import read_csv, read_table, write_csv
+from tidemark.sources.files import inline_table, input_path, read_csv, read_table, write_csv
 from tidemark.sources.schemas import CONTACT_SCHEMA
 from tidemark.sources.stream import read_parquet_stream
 from tidemark.streaming.live import drain_rows
@@ -29,6 +30,56 @@ def csv_scan(spark, sf_dir):
     return read_csv(spark, path, CONTACT_SCHEMA, mode="FAILFAST")
 
 
+@query("a2_path_by_variable", "SELECT r_regionkey, r_name FROM region")
+def path_by_variable(spark, sf_dir):
+    """The table's folder comes from a variable that is set, not from the default beside it."""
+    folder = input_path("TIDEMARK_INPUT", "/no/such/folder", {"TIDEMARK_INPUT": sf_dir})
+    return read_table(spark, folder, "region").select("r_regionkey", "r_name")
+
+
+@query(
+    "a5_catalog_list",
+    "SELECT 'kept_suppliers' AS name, false AS temporary, count(*) AS n FROM supplier UNION ALL SELECT 'seen_suppliers', true, count(*) FROM supplier",
+)
+def catalog_list(spark, sf_dir):
+    """A table and a view as the catalog lists them, each counted by the name it is listed with."""
+    mark = uuid.uuid4().hex
+    suppliers = read_table(spark, sf_dir, "supplier").select("s_suppkey")
+    save_table(suppliers, f"kept_suppliers_{mark}")
+    register_view(suppliers, f"seen_suppliers_{mark}")
+    listed = list_tables(spark).where(F.col("tableName").endswith(mark)).collect()
+    counted = [
+        spark.table(r["tableName"]).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(r["tableName"].removesuffix(f"_{mark}")).alias("name"), F.lit(r["isTemporary"]).alias("temporary"), "n"
+        )
+        for r in listed
+    ]
+    return append_snapshots(*counted)
+
+
+@query(
+    "a9_preview",
+    "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 7",
+)
+def first_rows(spark, sf_dir):
+    """Seven rows of an ordered table: the order and the bound reach the scan's tasks as one step."""
+    return preview(read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey"), 7)
+
+
+@query(
+    "a11_inline_table",
+    """SELECT n_name, count(c_custkey) AS customers FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey
+WHERE n_regionkey = 1 GROUP BY n_name""",
+)
+def inline_rows(spark, sf_dir):
+    """A few rows brought to the driver and made a table again, joined to a large one."""
+    names = read_table(spark, sf_dir, "nation").where("n_regionkey = 1").select("n_nationkey", "n_name")
+    held = inline_table(spark, [tuple(r) for r in preview(names, 100).collect()], "n_nationkey int, n_name string")
+    customers = read_table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("c_custkey").alias("customers"))
+    joined = held.join(customers, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return joined.select("n_name", F.coalesce("customers", F.lit(0)).alias("customers"))
+
+
 @query("a3_stream_scan", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_scan(spark, sf_dir):
     schema = read_table(spark, sf_dir, "events").schema

@@ -20,10 +20,10 @@ def disjoint_batches(df: DataFrame, key: str, batches: int, seed: int | None = 4
         yield tagged.where(F.col("batch_no") == number).drop("batch_no")
 
 
-def overlapping_batches(df: DataFrame, key: str, batches: int = 5, rows: int = 400):
+def overlapping_batches(df: DataFrame, key: str, batches: int = 5, rows: int = 400, portable: bool = False):
     """Yield independent samples of ``rows`` rows; a row may come more than once."""
     for seed in range(batches):
-        yield sample_batch(df, key, rows, seed)
+        yield sample_batch(df, key, rows, seed, portable)
 
 
 def replay(
