@@ -28,7 +28,7 @@ def texts():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "pages"):
+    for table in ("documents", "benchmark", "labels", "pages", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     cursor = db.execute(SQL[name])
     names = [d[0] for d in cursor.description]

@@ -155,17 +155,17 @@ def word_hashes(text: str) -> np.ndarray:
     return _hashed(raw, _SPACE[raw])[0]
 
 
-def sentence_words(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of the lower-cased text, and the number of the first word of each sentence.
+def sentence_words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of the lower-cased text, the number of the first word of each sentence, and the words' bytes.
 
     White space and ``. ! ?`` part words; the latter and line ends close a
     sentence. Every sentence has a word.
     """
     raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
     close = _CLOSE[raw]
-    words, starts, _ = _hashed(raw, _SPACE[raw] & ~close)
+    words, starts, ends = _hashed(raw, _SPACE[raw] & ~close)
     closed = np.cumsum(close)[starts]
-    return words, np.flatnonzero(np.diff(closed, prepend=-1))
+    return words, np.flatnonzero(np.diff(closed, prepend=-1)), ends - starts
 
 
 def _hashed(raw: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -6,15 +6,24 @@ from tidemark.llm.licenses import COPYRIGHT, MARKS, NOTICES, SPELLINGS
 
 SUBSTRING_DEDUP = r"""
 WITH pieces AS (
-    SELECT doc_id, text, unnest(range(len(p))) AS i, unnest(p) AS piece
-    FROM (SELECT doc_id, text,
-            regexp_extract_all(text, '[^\x20\x09-\x0D.!?][^.!?\n]*[\x20\x09-\x0D.!?]*') AS p
+    SELECT doc_id, unnest(range(len(p))) AS piece, unnest(p) AS text
+    FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D.!?][^.!?\n]*[\x20\x09-\x0D.!?]*') AS p
           FROM documents WHERE text IS NOT NULL)
+), words AS (
+    SELECT doc_id, piece, unnest(range(len(w))) AS k, len(w) AS n, unnest(w) AS word
+    FROM (SELECT doc_id, piece, regexp_extract_all(text, '[^\x20\x09-\x0D.!?]+[\x20\x09-\x0D.!?]*') AS w FROM pieces)
 ), folded AS (
-    SELECT doc_id, i, piece, regexp_extract_all(lower(piece), '[^\x20\x09-\x0D.!?]+') AS w FROM pieces
+    SELECT *, lower(regexp_extract(word, '[^\x20\x09-\x0D.!?]+')) AS low FROM words
+), parted AS (
+    SELECT *, coalesce(sum(CASE WHEN n > 20 AND strlen(low) % 6 = 0 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id, piece ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part
+    FROM folded
+), sentences AS (
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY piece, part) - 1 AS i, count(*) AS n,
+        string_agg(low, ' ' ORDER BY k) AS folded, string_agg(word, '' ORDER BY k) AS text
+    FROM parted GROUP BY doc_id, piece, part
 ), counted AS (
-    SELECT *, len(w) AS n, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY i) AS upto,
-        array_to_string(w, ' ') AS folded FROM folded
+    SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM sentences
 ), stops AS (
     SELECT a.doc_id, a.i AS start, min(b.i) AS last
     FROM counted a JOIN counted b
@@ -25,18 +34,19 @@ WITH pieces AS (
     FROM stops s JOIN counted c ON c.doc_id = s.doc_id AND c.i BETWEEN s.start AND s.last
     GROUP BY s.doc_id, s.start, s.last
 ), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS LAST, start) AS place FROM runs
+    SELECT *, min(doc_id) OVER (PARTITION BY run) AS first FROM runs
 ), gone AS (
     SELECT DISTINCT c.doc_id, c.i FROM ranked r
-    JOIN counted c ON c.doc_id = r.doc_id AND c.i BETWEEN r.start AND r.last WHERE r.place > 1
+    JOIN counted c ON c.doc_id = r.doc_id AND c.i BETWEEN r.start AND r.last WHERE r.doc_id > r.first
 ), totals AS (
     SELECT c.doc_id, count(*) AS n_sentences, sum(c.n) AS n_words, count(g.i) AS n_removed,
         sum(CASE WHEN g.i IS NOT NULL THEN c.n ELSE 0 END) AS removed_words,
-        coalesce(string_agg(c.piece, '' ORDER BY c.i) FILTER (WHERE g.i IS NULL), '') AS kept
+        coalesce(string_agg(c.text, '' ORDER BY c.i) FILTER (WHERE g.i IS NULL), '') AS kept
     FROM counted c LEFT JOIN gone g ON g.doc_id = c.doc_id AND g.i = c.i GROUP BY c.doc_id
 )
 SELECT t.doc_id, n_sentences::BIGINT AS n_sentences, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
-    removed_words::BIGINT AS removed_words, regexp_extract(d.text, '^[\x20\x09-\x0D.!?]*') || kept AS text
+    removed_words::BIGINT AS removed_words, 0::BIGINT AS n_own,
+    regexp_extract(d.text, '^[\x20\x09-\x0D.!?]*') || kept AS text
 FROM totals t JOIN documents d ON d.doc_id = t.doc_id WHERE n_removed > 0
 """
 
