@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -99,6 +100,37 @@ def test_passage_in_many_documents(spark):
     assert all("sharedq3" not in text and "own" in text for text in got.values())
 
 
+def test_passages_without_marks_and_from_the_middle_of_sentences(spark):
+    """Passages of 55 words, cut anywhere out of the test table's texts and set anywhere into other ones."""
+    rng = random.Random(4)
+    texts = [r[0] for r in duckdb.sql(f"SELECT text FROM '{SF_DIR}/documents.parquet' WHERE n_chars > 900 ORDER BY doc_id").fetchall()]
+    texts.append(" ".join(f"plain{i}x{'y' * (i % 7)}" for i in range(400)))
+    rows, planted = [], []
+    for i, text in enumerate(texts[-60:]):
+        words = text.split(" ")
+        at = rng.randrange(len(words) - 55)
+        host = prose(f"host{i}", 12).split()
+        place = rng.randrange(len(host))
+        rows += [document(2 * i, text), document(2 * i + 1, " ".join(host[:place] + words[at : at + 55] + host[place:]))]
+        planted.append(2 * i + 1)
+    got = {r["doc_id"]: r for r in substrings.remove_repeats(documents(spark, rows)).collect()}
+    caught = sum(i in got for i in planted) / len(planted)
+    assert caught >= 0.9
+    assert all(f"host{i // 2}q0".capitalize() not in rows[i][1] or "Host" in got[i]["text"] for i in planted if i in got)
+
+
+def test_repeats_inside_one_document_go_only_on_demand(spark):
+    twice = prose("a", 4) + " " + prose("b", 4) + " " + prose("a", 4)
+    docs = documents(spark, [document(1, twice), document(2, "XX!! YY!! ZZ!! " * 30), document(3, prose("c", 9))])
+    assert substrings.remove_repeats(docs).count() == 0
+    got = {r["doc_id"]: r for r in substrings.remove_repeats(docs, own=True).collect()}
+    assert set(got) == {1, 2} and got[1]["n_own"] == got[1]["n_removed"] == 4
+    assert got[1]["text"] == prose("a", 4) + " " + prose("b", 4) + " "
+    both = documents(spark, [document(1, twice), document(5, prose("a", 4) + " " + prose("d", 2) + " " + prose("a", 4))])
+    got = {r["doc_id"]: r for r in substrings.remove_repeats(both).collect()}
+    assert set(got) == {5} and got[5]["n_removed"] == 8 and got[5]["n_own"] == 0
+
+
 # ------------------------------------------------------------------ mixing
 
 
@@ -326,6 +358,33 @@ def test_canonical_forms_match(spark):
     assert got == {(1, "Apache-2.0", "paragraph"), (2, "MIT", "text")}
 
 
+def test_whole_licenses_in_every_spelling(spark):
+    """Known answers, written by hand: case, marks, copyright lines, equal spellings, line breaks and what must not match."""
+    known = spark.createDataFrame([("X-1", "Use of this licence is free, organisation or not."), ("Y-1", "One.\n\nTwo & three."), ("Z-1", None), ("W-1", "")], "license_id string, text string")
+    rows = {
+        1: ("USE of this\n  LICENSE is free; organization or not!", {("X-1", "text")}),
+        2: ("Copyright (c) 2021 Someone\nUse of this licence is free, organisation or not.\nAll rights reserved.", {("X-1", "text")}),
+        3: ("Before.\n\nUse of this license is\nfree organisation or not\n\nAfter.", {("X-1", "paragraph")}),
+        4: ("Before.\nuse of this license is free organization or not\nAfter.", {("X-1", "line")}),
+        5: ("Use of this licence is free, organisation or not. And more.", set()),
+        6: ("one\ntwo and three", {("Y-1", "text")}),
+        7: ("One two", set()), 8: ("", set()), 9: (None, set()), 10: ("Copyright 2020", set()),
+    }
+    got = licenses.scan_licenses(documents(spark, [document(i, t) for i, (t, _) in rows.items()]), known).collect()
+    assert {(r["doc_id"], r["license_id"], r["unit"]) for r in got} == {(i, *x) for i, (_, want) in rows.items() for x in want}
+    assert licenses.scan_licenses(documents(spark, [document(1, "x")]), known.limit(0)).count() == 0
+
+
+def test_license_lines_are_made_once_and_in_linear_time(spark):
+    lines = "\n".join(f"line number {i}" for i in range(100_000)) + "\nReleased under the MIT License."
+    found = licenses.scan_licenses(documents(spark, [document(1, lines)]), licenses.known_notices(spark))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("Generate")[1].split("_groupingexpression")[0].count("all rights reserved") == 1
+    started = time.time()
+    assert [(r["license_id"], r["unit"]) for r in found.collect()] == [("MIT", "line")]
+    assert time.time() - started < 60
+
+
 # ------------------------------------------------------------------ language models
 
 
