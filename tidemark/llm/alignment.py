@@ -6,9 +6,11 @@ import hashlib
 import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +20,8 @@ from tidemark.llm.common import write_through
 
 #: Token ids of the second tokenizer stay below this; a pair's number is ``a * PAIR + b``.
 PAIR = 1 << 32
-_CHUNK = 1 << 20
+#: Bytes that are encoded at a time.
+_CHUNK = 1 << 18
 
 # ---------------------------------------------------------------- the two vocabularies
 
@@ -164,15 +167,43 @@ def _encoded(texts: list[str], vocabularies: tuple) -> list[tuple[np.ndarray, np
     for (encoded, _), length in zip(both, (length_a, length_b), strict=True):
         kept = [ids if ok else () for ids, ok in zip(encoded, sound, strict=True)]
         sizes = np.array([len(ids) for ids in kept], np.int64)
-        flat = np.fromiter((i for ids in kept for i in ids), np.int64, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(kept), np.int64, int(sizes.sum()))
         out.append((flat, sizes, np.cumsum(length[flat])))
     return out
 
 
-_TOKENS = "a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
+_LISTS = ["a_ids", "b_ids", "a_sizes", "b_sizes"]
+_TYPES = ", ".join(f"{c} array<int>" for c in _LISTS)
+_DIGESTS = ["n_a", "n_b", "n_groups", "groups_sha256", "pairs"]
+_DIGEST_TYPES = "n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>"
+_NAMES = ["doc_id", "row", "block", "piece", "pieces", "a_start", "b_start", *_LISTS, *_DIGESTS]
 
 
-def _tokens(docs: DataFrame, a_path: str, b_path: str, work: int, block_bytes: int) -> DataFrame:
+@lru_cache(maxsize=1)
+def _signs(top: int) -> list[str]:
+    """Each id below ``top`` with a mark that tells what follows it: another of its group, the group's other side, the next group."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(top)]
+
+
+def _digests(a_ids: pa.ListArray, b_ids: pa.ListArray, a_sizes: pa.ListArray, b_sizes: pa.ListArray) -> list[pa.Array]:
+    """The columns ``n_a, n_b, n_groups, groups_sha256, pairs`` of rows of lists."""
+    (a, n_a), (b, n_b), (a_sizes, n), (b_sizes, _) = (_flat(c) for c in (a_ids, b_ids, a_sizes, b_sizes))
+    top = 1 << int(max(a.max(initial=1), b.max(initial=1))).bit_length()
+    a_last, b_last = np.cumsum(a_sizes) - 1, np.cumsum(b_sizes) - 1
+    told_a, told_b = a.astype(np.int64), b.astype(np.int64)
+    told_a[a_last] += top
+    told_b[b_last] += 2 * top
+    order = np.empty(a.size + b.size, np.int64)
+    order[np.arange(a.size) + np.repeat(np.cumsum(b_sizes) - b_sizes, a_sizes)] = told_a
+    order[np.arange(b.size) + np.repeat(np.cumsum(a_sizes), b_sizes)] = told_b
+    said = list(map(_signs(top).__getitem__, order.tolist()))
+    edges = np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()
+    sha = [hashlib.sha256("".join(said[x:y])[:-1].encode()).hexdigest() if y > x else "" for x, y in zip(edges, edges[1:], strict=False)]
+    pairs = a[a_last].astype(np.int64) * PAIR + b[b_last]
+    return [pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string()), _lists(pairs, n, pa.int64())]
+
+
+def _tokens(docs: DataFrame, a_path: str, b_path: str, work: int, block_bytes: int, digests: bool) -> DataFrame:
     """A row per text whose merge is one piece of work, already merged; of others a row per piece, not yet merged."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -180,15 +211,15 @@ def _tokens(docs: DataFrame, a_path: str, b_path: str, work: int, block_bytes: i
         vocabularies = (_vocabulary(ByteLevel, a_path), _vocabulary(Pieces, b_path))
         here, row, seen = TaskContext.get().partitionId() << 40, 0, 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            edges = np.cumsum([0, *map(len, texts)])
+            edges = np.cumsum([0, *pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()])
             low = 0
-            while low < len(texts):
-                high = max(low + 1, int(np.searchsorted(edges, edges[low] + _CHUNK)))
-                yield from chunk(batch.column(0).slice(low, high - low), texts[low:high], vocabularies, here + row, here + seen // block_bytes)
-                row, seen, low = row + high - low, seen + int(edges[min(high, len(texts))] - edges[low]), high
+            while low < batch.num_rows:
+                high = min(batch.num_rows, max(low + 1, int(np.searchsorted(edges, edges[low] + _CHUNK))))
+                texts = [t or "" for t in batch.column(1).slice(low, high - low).to_pylist()]
+                yield from merged(batch.column(0).slice(low, high - low), texts, vocabularies, here + row, here + seen // block_bytes)
+                row, seen, low = row + high - low, seen + int(edges[high] - edges[low]), high
 
-    def chunk(ids: pa.Array, texts: list[str], vocabularies: tuple, row: int, block: int) -> Iterator[pa.RecordBatch]:
+    def merged(ids: pa.Array, texts: list[str], vocabularies: tuple, row: int, block: int) -> Iterator[pa.RecordBatch]:
         (a, a_count, a_ends), (b, b_count, b_ends) = _encoded(texts, vocabularies)
         a_at, b_at = np.concatenate(([0], np.cumsum(a_count))), np.concatenate(([0], np.cumsum(b_count)))
         long = a_count + b_count > work
@@ -198,53 +229,39 @@ def _tokens(docs: DataFrame, a_path: str, b_path: str, work: int, block_bytes: i
         short = np.flatnonzero(~long)
         keep_a, keep_b, keep_g = np.repeat(~long, a_count), np.repeat(~long, b_count), np.repeat(~long, groups)
         n = short.size
+        lists = [_lists(a[keep_a], a_count[short]), _lists(b[keep_b], b_count[short]), _lists(a_sizes[keep_g], groups[short]), _lists(b_sizes[keep_g], groups[short])]
+        rest = [pa.nulls(n, pa.int64())] * 3 + [pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int64()))]
+        if digests:
+            lists, rest = [pa.nulls(n, pa.list_(pa.int32()))] * 4, _digests(*lists)
         yield pa.RecordBatch.from_arrays([
             ids.take(pa.array(short)), pa.array(row + short), pa.array(np.full(n, block)), pa.array(np.zeros(n, np.int32)), pa.array(np.ones(n, np.int32)),
             pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64)),
-            _lists(a[keep_a], a_count[short]), _lists(b[keep_b], b_count[short]), _lists(a_sizes[keep_g], groups[short]), _lists(b_sizes[keep_g], groups[short]),
+            *lists, *rest,
         ], names=_NAMES)
         for r in np.flatnonzero(long).tolist():
             own_a, own_b = slice(a_at[r], a_at[r + 1]), slice(b_at[r], b_at[r + 1])
             cuts = np.array(merge_path(a_ends[own_a], b_ends[own_b], work))
             starts_a, starts_b = np.concatenate(([0], a_ends))[own_a.start + cuts[:-1, 0]], np.concatenate(([0], b_ends))[own_b.start + cuts[:-1, 1]]
             n = len(cuts) - 1
-            none = _lists(np.empty(0, np.int32), np.zeros(n, np.int64))
+            none = pa.nulls(n, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([
                 ids.take(pa.array(np.full(n, r))), pa.array(np.full(n, row + r)), pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), pa.array(np.full(n, n, np.int32)),
                 pa.array(starts_a), pa.array(starts_b),
                 _lists(a[own_a], np.diff(cuts[:, 0])), _lists(b[own_b], np.diff(cuts[:, 1])), none, none,
+                *[pa.nulls(n, pa.int64())] * 3, pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int64())),
             ], names=_NAMES)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, row long, block long, piece int, pieces int, a_start long, b_start long, {_TOKENS}"
+        run, f"doc_id {kind}, row long, block long, piece int, pieces int, a_start long, b_start long, {_TYPES}, {_DIGEST_TYPES}"
     )
 
 
-_NAMES = ["doc_id", "row", "block", "piece", "pieces", "a_start", "b_start", "a_ids", "b_ids", "a_sizes", "b_sizes"]
-
-
-def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, work: int = 32768, block_bytes: int = 1 << 22) -> DataFrame:
-    """``doc_id, row, block, a_ids, b_ids, a_sizes, b_sizes`` per row of ``docs (doc_id, text)``.
-
-    A space and the text are encoded by the byte-level vocabulary ``a_path``, the
-    text by the sentence-piece vocabulary ``b_path``, which adds the space; the
-    files lie where every executor finds them. Offsets at which a token of both
-    ends cut the tokens into groups: ``a_sizes`` and ``b_sizes`` are each group's
-    numbers of tokens, in order.
-
-    The ends of a text are merged in pieces of ``work`` ends, found by binary
-    searches on diagonals. Pieces of texts that have several are dealt to the
-    tasks anew and merged by themselves; of a text then only its pieces meet, to
-    join the groups that cross their edges. Texts of one piece stay in place.
-
-    Null and empty texts, and those that either vocabulary does not give back
-    byte by byte, have empty lists. ``row`` numbers the rows, repeated ones too;
-    ``block`` is shared by rows that one task read, of about ``block_bytes``
-    characters. An empty table gives an empty one.
-    """
+def _aligned(docs: DataFrame, a_path: str, b_path: str, work: int, block_bytes: int, digests: bool) -> DataFrame:
+    """Rows of lists, or of digests: texts of one piece as they are, others after their pieces were merged and stitched."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    tokens = write_through(_tokens(docs, a_path, b_path, work, block_bytes), "tokens")
-    columns = ["doc_id", "row", "block", "a_ids", "b_ids", "a_sizes", "b_sizes"]
+    tokens = write_through(_tokens(docs, a_path, b_path, work, block_bytes, digests), "tokens")
+    made = _DIGESTS if digests else _LISTS
+    columns = ["doc_id", "row", "block", *made]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = (_vocabulary(ByteLevel, a_path)[2], _vocabulary(Pieces, b_path)[2])
@@ -266,76 +283,64 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, work: int = 3276
         lists = {c: [np.asarray(x.values) for x in table.column(c)] for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")}
         left = [table.column(c).to_pylist() for c in ("a_left", "b_left")]
         sizes = stitch(list(zip(lists["a_sizes"], lists["b_sizes"], *left, strict=True)))
-        whole = [np.concatenate(lists["a_ids"]), np.concatenate(lists["b_ids"]), *sizes]
-        return pa.table([*(table.column(c).slice(0, 1) for c in columns[:3]), *(_lists(x, np.array([x.size])) for x in whole)], names=columns)
+        whole = [_lists(x, np.array([x.size])) for x in (np.concatenate(lists["a_ids"]), np.concatenate(lists["b_ids"]), *sizes)]
+        whole = _digests(*whole) if digests else whole
+        return pa.table([*(table.column(c).slice(0, 1) for c in columns[:3]), *whole], names=columns)
 
     pieces = tokens.where("pieces > 1").repartition("row", "piece")
-    merged = pieces.mapInArrow(merge, f"doc_id {kind}, row long, block long, piece int, {_TOKENS}, a_left long, b_left long")
-    stitched = merged.groupBy("row").applyInArrow(join, f"doc_id {kind}, row long, block long, {_TOKENS}")
+    closed = pieces.mapInArrow(merge, f"doc_id {kind}, row long, block long, piece int, {_TYPES}, a_left long, b_left long")
+    stitched = closed.groupBy("row").applyInArrow(join, f"doc_id {kind}, row long, block long, {_DIGEST_TYPES if digests else _TYPES}")
     return tokens.where("pieces = 1").select(columns).union(write_through(stitched, "stitched"))
 
 
-def linked_pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """The pair of each link of the rows, and how many links each row has: the last tokens of a group end together."""
-    (a, _), (b, _), (a_sizes, n), (b_sizes, _) = (_flat(batch.column(c)) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-    return a[np.cumsum(a_sizes) - 1].astype(np.int64) * PAIR + b[np.cumsum(b_sizes) - 1], n
+def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, work: int = 32768, block_bytes: int = 1 << 21) -> DataFrame:
+    """``doc_id, row, block, a_ids, b_ids, a_sizes, b_sizes`` per row of ``docs (doc_id, text)``.
+
+    A space and the text are encoded by the byte-level vocabulary ``a_path``, the
+    text by the sentence-piece vocabulary ``b_path``, which adds the space; the
+    files lie where every executor finds them. Offsets at which a token of both
+    ends cut the tokens into groups: ``a_sizes`` and ``b_sizes`` are each group's
+    numbers of tokens, in order.
+
+    The ends of a text are merged in pieces of ``work`` ends, found by binary
+    searches on diagonals. Pieces of texts that have several are dealt to the
+    tasks anew and merged by themselves; of a text then only its pieces meet, to
+    join the groups that cross their edges. Texts of one piece stay in place.
+
+    Null and empty texts, and those that either vocabulary does not give back
+    byte by byte, have empty lists. ``row`` numbers the rows, repeated ones too;
+    ``block`` is shared by rows that one task read, of about ``block_bytes``
+    bytes. An empty table gives an empty one.
+    """
+    return _aligned(docs, a_path, b_path, work, block_bytes, False).select("doc_id", "row", "block", *_LISTS)
 
 
-def group_digests(aligned: DataFrame) -> DataFrame:
-    """``doc_id, block, n_a, n_b, n_groups, groups_sha256, pairs`` per row of :func:`align_tokenizers`.
+def align_digests(docs: DataFrame, a_path: str, b_path: str, work: int = 32768, block_bytes: int = 1 << 21) -> DataFrame:
+    """``doc_id, row, block, n_a, n_b, n_groups, groups_sha256, pairs``: :func:`align_tokenizers`, with a digest instead of its lists.
 
     The digest is of ``a1,a2|b1;a3|b2,b3``, ids by group; it is empty for a row
-    without tokens. ``pairs`` has a number per link.
+    without tokens. ``pairs`` has a number per link: the last tokens of a group
+    end together. Digests are made where the groups are, so that no list of
+    tokens is written but those of texts in pieces.
     """
-    kind = aligned.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signs: list[str] = []
-        for batch in batches:
-            (a, n_a), (b, n_b), (a_sizes, n), (b_sizes, _) = (_flat(batch.column(c)) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-            top = 1 + max(int(a.max(initial=0)), int(b.max(initial=0)))
-            if 3 * top > len(signs):
-                signs = [f"{i}{mark}" for mark in ",|;" for i in range(top)]
-            width = len(signs) // 3
-            # An id's sign tells what follows it: another of its group, the group's other side, or the next group.
-            told_a, told_b = a.astype(np.int64), b.astype(np.int64)
-            told_a[np.cumsum(a_sizes) - 1] += width
-            told_b[np.cumsum(b_sizes) - 1] += 2 * width
-            order = np.empty(a.size + b.size, np.int64)
-            order[np.arange(a.size) + np.repeat(np.cumsum(b_sizes) - b_sizes, a_sizes)] = told_a
-            order[np.arange(b.size) + np.repeat(np.cumsum(a_sizes), b_sizes)] = told_b
-            said = list(map(signs.__getitem__, order.tolist()))
-            edges = np.concatenate(([0], np.cumsum(n_a + n_b))).tolist()
-            digests = [
-                hashlib.sha256("".join(said[x:y])[:-1].encode()).hexdigest() if y > x else "" for x, y in zip(edges, edges[1:], strict=False)
-            ]
-            pairs, links = linked_pairs(batch)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("block"), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(digests, pa.string()), _lists(pairs, links, pa.int64())],
-                names=["doc_id", "block", "n_a", "n_b", "n_groups", "groups_sha256", "pairs"],
-            )
-
-    return aligned.mapInArrow(
-        run, f"doc_id {kind}, block long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<long>"
-    )
+    return _aligned(docs, a_path, b_path, work, block_bytes, True).select("doc_id", "row", "block", *_DIGESTS)
 
 
-def block_pairs(aligned: DataFrame) -> DataFrame:
-    """``block, pair, n``: the links of each block by pair, added up in the task."""
+def block_pairs(digests: DataFrame) -> DataFrame:
+    """``block, pair, n``: the links of each block by pair, added up in the task; a block that two tasks read has two parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs, n = linked_pairs(batch)
-            blocks = np.repeat(np.asarray(batch.column("block")), n)
-            for block in np.unique(blocks):
-                pair, count = np.unique(pairs[blocks == block], return_counts=True)
+            blocks = np.asarray(batch.column("block"))
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for low, high in zip(edges, edges[1:], strict=False):  # a block's rows lie together
+                block = blocks[low]
+                pair, count = np.unique(_flat(batch.column("pairs").slice(low, high - low))[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(pair.size, block)), pa.array(pair), pa.array(count.astype(np.int64))], names=["block", "pair", "n"]
                 )
 
-    found = aligned.mapInArrow(run, "block long, pair long, n long")
-    return found.groupBy("block", "pair").agg(F.sum("n").alias("n"))
+    return digests.select("block", "pairs").mapInArrow(run, "block long, pair long, n long")
 
 
 def link_counts(pairs: DataFrame) -> DataFrame:
@@ -345,16 +350,16 @@ def link_counts(pairs: DataFrame) -> DataFrame:
     return counts.select("pair", "count", (F.col("count") == F.max("count").over(same_b)).alias("best"))
 
 
-def score_links(aligned: DataFrame) -> DataFrame:
-    """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` per row of :func:`align_tokenizers`.
+def score_links(digests: DataFrame) -> DataFrame:
+    """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` per row of :func:`align_digests`.
 
     ``n_best`` are links whose pair has the most links of its B id over the whole
     corpus, ties included; ``count_sum`` adds up the corpus' counts of the links'
     pairs. Each block gets the counts of the pairs that it has, and no more; no
     table of all pairs is sent to a task.
     """
-    kind = aligned.schema["doc_id"].dataType.simpleString()
-    pairs = write_through(block_pairs(aligned), "pairs")
+    kind = digests.schema["doc_id"].dataType.simpleString()
+    pairs = write_through(block_pairs(digests), "pairs")
     counts = write_through(link_counts(pairs), "counts")
     known = pairs.select("block", "pair").join(counts, "pair").select(F.col("block").alias("of"), "pair", "count", "best")
 
@@ -366,13 +371,14 @@ def score_links(aligned: DataFrame) -> DataFrame:
             pair = np.asarray(own.column("pair"))
             order = np.argsort(pair)
             at = order[np.searchsorted(pair, pairs, sorter=order)]
-            each = np.repeat(np.arange(rows.num_rows), n)
-            np.add.at(best, each, np.asarray(own.column("best").combine_chunks().cast(pa.int64()))[at])
-            np.add.at(total, each, np.asarray(own.column("count"))[at])
+            edges = np.concatenate(([0], np.cumsum(n)))
+            for out, name in ((best, "best"), (total, "count")):
+                sums = np.concatenate(([0], np.cumsum(np.asarray(own.column(name).combine_chunks().cast(pa.int64()))[at])))
+                out[:] = sums[edges[1:]] - sums[edges[:-1]]
         done = [rows.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups")]
         return pa.table([*done, pa.array(n, pa.int64()), pa.array(best), pa.array(total), rows.column("groups_sha256")], names=_SCORES)
 
-    return group_digests(aligned).groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
+    return digests.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
         score, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import oracles
-from tidemark.llm.alignment import align_tokenizers, score_links
+from tidemark.llm.alignment import align_digests, score_links
 from tidemark.llm.classifier import classify_quality
 from tidemark.llm.common import read
 from tidemark.llm.decontamination import find_contamination
@@ -79,7 +79,7 @@ def tokenizer_file(name: str) -> str:
 
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
-    return score_links(align_tokenizers(read(spark, sf_dir, "documents"), *files))
+    return score_links(align_digests(read(spark, sf_dir, "documents"), *files))
 
 
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
