@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import SF_DIR, WORD, clashing, document, documents, prose
 from tidemark.llm import decontamination, language, licenses, mixing, privacy, quality, scoring, substrings, urls
@@ -453,3 +454,10 @@ def test_pipeline(spark, texts):
             expected -= leaks
         assert {r["doc_id"] for r in docs.select("doc_id").collect()} == expected, name
     assert expected and all(len(WORD.findall(r["text"])) == r["taken"] for r in docs.collect())
+
+
+def test_target_model_is_fitted_on_all_good_labels(spark):
+    docs = spark.range(20_600).select(F.col("id").alias("doc_id"), F.lit("ab").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.when(F.col("doc_id") < 100, 1).alias("toxic"))
+    target = scoring.labelled_target(docs, labels.union(labels))
+    assert target.count() == 20_500
