@@ -136,3 +136,16 @@ def test_nothing_large_that_is_written_is_left(spark):
     near_classes(documents(spark, [document(*r) for r in crowd(20)])).count()
     left = {p.name.split("-")[1] for p in set(folder.iterdir()) - before}
     assert not left & {"texts", "sketches", "pairs", "links", "crowded"}
+
+
+def test_no_twin_in_a_crowd_is_lost(spark):
+    rows = crowd(60, 5)
+    docs = documents(spark, [document(*r) for r in rows])
+    few = ((8, 1),)  # most texts share the k-mer of lowest rank: crowded buckets, and no further level
+
+    def classes(**how):
+        return {r["doc_id"]: r["class_id"] for r in near_classes(docs, levels=few, **how).collect()}
+
+    want = brute_classes(rows)
+    assert classes(exact=False) != want
+    assert classes() == want

@@ -181,6 +181,45 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rest.groupBy("band_key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band_key")
 
 
+def _rare_first(kmers: DataFrame) -> DataFrame:
+    """``node, kmer, n, place`` of ``kmers (node, kmer, n)``: its k-mers by the number of texts that have them, rarest first."""
+    often = kmers.groupBy("kmer").agg(F.count("*").alias("texts"))
+    order = Window.partitionBy("node").orderBy("texts", "kmer")
+    return kmers.join(often, "kmer").select("node", "kmer", "n", (F.row_number().over(order) - 1).alias("place"))
+
+
+def _overlapping(texts: DataFrame, roots: DataFrame, least: float, k: int) -> DataFrame:
+    """``a, b``: all pairs of ``texts`` of different classes that may have a similarity of ``least``.
+
+    Similar texts share ``least / (1 + least)`` of their k-mers together, so they
+    share one of the rarest ``(1 - least) * n + 1`` of each, whatever the order.
+    Of those that do, pairs remain whose sizes and places leave room for as many.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                kmers = labelled_kmers(text.as_py(), k)
+                if kmers.size:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(kmers.size, node, np.int64)), pa.array(kmers.view(np.int64)), pa.array(np.full(kmers.size, kmers.size))],
+                        names=["node", "kmer", "n"],
+                    )
+
+    kmers = write_through(texts.select("node", "text").mapInArrow(run, "node bigint, kmer bigint, n bigint"), "kmers")
+    first = _rare_first(kmers).where(F.col("place") <= F.lit(1 - least) * F.col("n") + 1e-9)
+    first = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = write_through(first, "rare")
+    one, other = (first.select("kmer", *[F.col(c).alias(c + end) for c in ("node", "n", "place", "root")]) for end in ("_a", "_b"))
+    need = F.lit(least / (1 + least)) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-9)
+    room = F.least("place_a", "place_b") + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    met = one.join(other, "kmer").where("node_a < node_b and root_a <> root_b")
+    met = met.where((F.least("n_a", "n_b") >= need) & (room >= need))
+    pairs = write_through(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
+    discard(kmers, first)
+    return pairs
+
+
 def near_links(
     texts: DataFrame, least: float, levels: tuple[tuple[int, int], ...], k: int, exact: bool
 ) -> DataFrame:
@@ -193,51 +232,49 @@ def near_links(
     longer sketches by other hash functions deal them to smaller buckets, each
     with a hub of its own; members of the hub's class are not aligned again.
 
-    After the last level, ``exact`` goes on in its crowded buckets with one hub
-    after the other until every pair of different classes was aligned: complete,
-    and quadratic in groups that share long sketches and are not similar.
+    Longer sketches lose some links. ``exact`` therefore ends with a join of all
+    texts of the first level's crowded buckets, by their rarest k-mers: every
+    pair that met there is of one class then, or was aligned.
     """
-    judged, roots, some = [], None, texts
+    judged, roots, some, crowds = [], None, texts, None
+
+    def align(pairs: DataFrame) -> None:
+        nonlocal roots
+        found = write_through(_verified(pairs, texts, least, k).where("similarity > 0").select("a", "b"), "links")
+        judged.append(found)
+        discard(pairs)
+        if roots is None or found.limit(1).count():
+            if roots is not None:
+                discard(roots)
+            links = judged[0]
+            for more in judged[1:]:
+                links = links.union(more)
+            roots = write_through(components(links), "roots")
+
     for level in range(len(levels)):
         rows = write_through(_sketched(some, level, levels, k), "sketches")
         members = write_through(_with_hubs(rows, roots, level > 0), "members")
-        while True:
-            pairs = members.where("root <> root_a").where(
-                F.least("n", "n_a") >= F.lit(least - 1e-9) * F.greatest("n", "n_a")
-            )
-            pairs = write_through(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs")
-            found = write_through(_verified(pairs, texts, least, k).where("similarity > 0").select("a", "b"), "links")
-            judged.append(found)
-            discard(pairs)
-            if roots is None or found.limit(1).count():
-                if roots is not None:
-                    discard(roots)
-                links = judged[0]
-                for more in judged[1:]:
-                    links = links.union(more)
-                roots = write_through(components(links), "roots")
-            crowded = write_through(_open(members, roots), "crowded")
-            if level < len(levels) - 1 or not exact or not crowded.limit(1).count():
-                break
-            left = members.where("node <> a").join(crowded, "band_key").select("band_key", "node", "n")
-            again = write_through(_with_hubs(left, roots, True), "members")
-            discard(members, crowded)
-            members = again
-        if level < len(levels) - 1:
-            nodes = members.join(crowded, "band_key").select("node").distinct()
-            waiting = write_through(nodes, "waiting")
-            discard(rows, members, crowded)
-            if not waiting.limit(1).count():
-                break
-            some = texts.join(waiting, "node", "left_semi")
-        else:
-            discard(rows, members, crowded)
+        pairs = members.where("root <> root_a").where(F.least("n", "n_a") >= F.lit(least - 1e-9) * F.greatest("n", "n_a"))
+        align(write_through(pairs.select("a", F.col("node").alias("b")).distinct(), "pairs"))
+        if level == len(levels) - 1 and (level > 0 or not exact):
+            discard(rows, members)
+            break
+        crowded = write_through(_open(members, roots), "crowded")
+        waiting = write_through(members.join(crowded, "band_key").select("node").distinct(), "waiting")
+        discard(rows, members, crowded)
+        if level == 0:
+            crowds = waiting
+        if not waiting.limit(1).count():
+            break
+        some = texts.join(waiting, "node", "left_semi")
+    if exact and crowds is not None and crowds.limit(1).count():
+        align(_overlapping(texts.join(crowds, "node", "left_semi"), roots, least, k))
     discard(*judged)
     return roots
 
 
 def near_classes(
-    docs: DataFrame, least: float = 0.8, levels: tuple[tuple[int, int], ...] = LEVELS, k: int = 5, exact: bool = False
+    docs: DataFrame, least: float = 0.8, levels: tuple[tuple[int, int], ...] = LEVELS, k: int = 5, exact: bool = True
 ) -> DataFrame:
     """``doc_id, key, class_id, class_size, is_first`` per row of ``docs (doc_id, text)``.
 
@@ -247,7 +284,7 @@ def near_classes(
     of the first level's 40 bands of 6 k-mers with probability 1 - (1 - J ** 6)
     ** 40: all but one in about 190,000 at 0.8. Where a bucket stays crowded its
     texts meet again in 64 bands of 12 (0.989 at 0.8) and 160 of 18 (0.945 at
-    0.8, 0.9998 at 0.85) with other hubs; ``exact`` aligns all that meet there.
+    0.8, 0.9998 at 0.85) with other hubs; ``exact`` then aligns what those lose.
     ``class_id`` is the least id of the class; ``is_first`` marks one text of
     it, the one with that id. Only one of several copies is sketched and aligned.
 
