@@ -146,3 +146,13 @@ def test_importances_do_not_follow_the_input_partitions(keyed):
         return mo.feature_importances(fitted, df).collect()
 
     assert importances(keyed.repartition(4)) == importances(keyed.repartition(8))
+
+
+def test_partitions_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(mo, "PARTITION_ROWS", 20)
+    placed = mo.laid_out(spark.range(300), ["id"])
+    assert placed.rdd.getNumPartitions() == 15 and placed.count() == 300
+
+
+def test_forest_keeps_the_nodes_of_its_rows():
+    assert mo.random_forest().getCacheNodeIds()

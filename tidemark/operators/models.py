@@ -21,6 +21,8 @@ from tidemark.sources.files import inline_table
 
 LOGISTIC = "Logistic Regression"
 FOREST = "Random Forest"
+#: Training keeps some KB a row in memory: tasks read a bounded part of it, however many rows there are.
+PARTITION_ROWS = 200_000
 
 
 def logistic_regression(max_iter: int = 50) -> LogisticRegression:
@@ -28,8 +30,9 @@ def logistic_regression(max_iter: int = 50) -> LogisticRegression:
 
 
 def random_forest(trees: int = 100, depth: int = 8, seed: int = 42) -> RandomForestClassifier:
+    """Each row's node in each tree is kept from level to level, so that no level walks the trees again."""
     return RandomForestClassifier(
-        labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed
+        labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True
     )
 
 
@@ -59,12 +62,14 @@ def laid_out(df: DataFrame, keys: Sequence[str], partitions: int | None = None)
     """``df`` in a layout that follows from the row keys alone, however it was partitioned.
 
     Bagging draws row by row in each partition, so a forest depends on the layout.
-    There are as many partitions as the session shuffles to, and so as many as
-    its data need, unless ``partitions`` fixes them for a result that no other
-    session changes. Keys that name a row deal rows out evenly; of equal keys
-    the order is open.
+    There are as many partitions as the session shuffles to, and more where
+    each would hold over ``PARTITION_ROWS``, unless ``partitions`` fixes them for
+    a result that no other session changes. Keys that name a row deal rows out
+    evenly; of equal keys the order is open.
     """
-    number = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = partitions
+    if not number:
+        number = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // PARTITION_ROWS))
     return df.repartition(number, *keys).sortWithinPartitions(*keys)
 
 
