@@ -65,3 +65,17 @@ def test_boosted_trees_stop_and_add_up(people):
     assert len(rows) == 301
     assert all(abs(r["p_positive"] - r["p_recomputed"]) < 1e-9 for r in rows)
     assert sum(r["label"] == r["prediction"] for r in rows) > 280
+
+
+def test_boosted_trees_read_partitions_of_bounded_size(people, monkeypatch):
+    seen = []
+
+    class Watched(tuning.GBTClassifier):
+        def fit(self, dataset):
+            seen.append(dataset.rdd.getNumPartitions())
+            return super().fit(dataset)
+
+    monkeypatch.setattr(tuning, "GBTClassifier", Watched)
+    monkeypatch.setattr("tidemark.operators.models.PARTITION_ROWS", 20)
+    tuning.boosted_trees(people, "id", ["kind"], ["x"], "y", "yes", most_trees=1, depth=2)
+    assert seen == [16]  # 301 rows with a label

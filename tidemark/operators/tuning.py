@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.features import binary_label, fit_features
 from tidemark.operators.keyed_joins import checkpointed, settle
-from tidemark.operators.models import FittedModels, fit_models
+from tidemark.operators.models import FittedModels, fit_models, laid_out
 from tidemark.operators.sampling import stable_bucket
 
 
@@ -111,7 +111,8 @@ def boosted_trees(
     """Trees added one after the other until the loss on the validation rows no longer falls, ``most_trees`` at most.
 
     Validation rows are chosen by key; the feature stages are fitted on the
-    others. Rows are kept for the time of training; the node numbers that each
+    others. Rows are laid out by ``key`` in partitions of bounded size (see
+    :func:`laid_out`) and kept for the time of training; the node numbers that each
     tree hands to the next are checkpointed in the shared folder every
     ``checkpoint_every`` trees, so that lineage stays short and a lost executor
     costs no more than those.
@@ -121,7 +122,7 @@ def boosted_trees(
         "held", stable_bucket(F.col(key), buckets, key_seed) < validation_buckets
     )
     features = fit_features(marked.where("not held"), categorical, numeric)
-    ready = features.transform(binary_label(marked, target, positive)).select("label", "features", "held")
+    ready = features.transform(binary_label(laid_out(marked, [key]), target, positive)).select("label", "features", "held")
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     estimator = GBTClassifier(
         labelCol="label", featuresCol="features", validationIndicatorCol="held", maxIter=most_trees, maxDepth=depth,
