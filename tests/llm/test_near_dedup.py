@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from tests.llm.helpers import SF_DIR, WORD, clashing, document, documents, prose
-from tidemark.llm.near_dedup import drop_near_duplicates, near_classes
+from tidemark.llm.near_dedup import _differing, _overlapping, drop_near_duplicates, labelled_kmers, near_classes, parity_bits
 
 
 def labelled(text):
@@ -149,3 +149,42 @@ def test_no_twin_in_a_crowd_is_lost(spark):
     want = brute_classes(rows)
     assert classes(exact=False) != want
     assert classes() == want
+
+
+def test_pairs_of_a_crowd_grow_with_its_links(spark):
+    rows = crowd(150, 7)
+    grams = {i: labelled(t) for i, t in rows}
+    similar = {(2 * i, 2 * i + 1) for i in range(150)}
+    assert all(ordered_similarity(grams[a], grams[b]) >= 0.8 for a, b in similar)
+    texts = spark.createDataFrame(rows, "node bigint, text string")
+    roots = spark.createDataFrame([], "node bigint, root bigint")
+    pairs = {tuple(r) for r in _overlapping(texts, roots, 0.8, 5).collect()}
+    assert similar <= pairs and len(pairs) <= 2 * len(rows)  # of 44,850 that share three quarters of their words
+
+
+@pytest.mark.parametrize("least", [0.3, 0.8])
+def test_no_similar_pair_is_lost_whatever_the_sizes(spark, least):
+    rng = random.Random(2)
+    words = prose("w", 60).split()
+    rows = []
+    for i in range(70):
+        own = words[: rng.choice([12, 30, 34, 60, 66, 120, 140, 400])]
+        for _ in range(rng.randrange(4)):
+            own[rng.randrange(len(own))] = f"e{i}"
+        rows.append((i, " ".join(own)))
+    texts = spark.createDataFrame(rows, "node bigint, text string")
+    roots = spark.createDataFrame([], "node bigint, root bigint")
+    pairs = {tuple(r) for r in _overlapping(texts, roots, least, 5).collect()}
+    grams = {i: labelled(t) for i, t in rows}
+    similar = {(a, b) for a in grams for b in grams if a < b and ordered_similarity(grams[a], grams[b]) >= least}
+    assert len({len(g) for g in grams.values()}) > 4 and similar and similar <= pairs
+
+
+def test_bitmaps_differ_in_no_more_than_their_texts(spark):
+    texts = {i: labelled_kmers(prose(f"t{i % 3}", 40)[: 120 * 2 ** (i // 3)]) for i in range(12)}
+    bits = spark.createDataFrame([(i, parity_bits(x).tolist()) for i, x in texts.items()], "i int, bits array<bigint>")
+    other = bits.selectExpr("i as j", "bits as more")
+    assert bits.selectExpr("count(distinct size(bits))").first()[0] > 2
+    for r in bits.crossJoin(other).select("i", "j", _differing("bits", "more").alias("n")).collect():
+        only = len(set(texts[r["i"]].tolist()) ^ set(texts[r["j"]].tolist()))
+        assert r["n"] <= only and (r["n"] > 0) == (only > 0)

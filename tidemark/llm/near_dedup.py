@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -50,6 +50,8 @@ def sketches(kmers: np.ndarray, bands: int, length: int, first: int = 0) -> np.n
 LEVELS = ((40, 6), (64, 12), (160, 18))
 #: Texts of so many k-mers are short: a band's choice is a large part of them. They get bands of two k-mers besides.
 SHORT, SHORT_BANDS = 40, 12
+#: Most bits of a text's bitmap. Longer texts have fewer bits a k-mer: more of their pairs are aligned, none is lost.
+PARITY_BITS = 4096
 
 
 def band_keys(kmers: np.ndarray, level: int, levels: tuple[tuple[int, int], ...]) -> np.ndarray:
@@ -181,42 +183,58 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rest.groupBy("band_key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band_key")
 
 
-def _rare_first(kmers: DataFrame) -> DataFrame:
-    """``node, kmer, n, place`` of ``kmers (node, kmer, n)``: its k-mers by the number of texts that have them, rarest first."""
-    often = kmers.groupBy("kmer").agg(F.count("*").alias("texts"))
-    order = Window.partitionBy("node").orderBy("texts", "kmer")
-    return kmers.join(often, "kmer").select("node", "kmer", "n", (F.row_number().over(order) - 1).alias("place"))
+def parity_bits(kmers: np.ndarray) -> np.ndarray:
+    """64-bit parts of a bitmap in which each k-mer turns one bit: two bitmaps of a length differ in no more bits than their texts in k-mers.
+
+    There are two bits a k-mer or more, up to ``PARITY_BITS`` in all. Parts that
+    are turned by each other make the bitmap of a shorter length.
+    """
+    size = min(PARITY_BITS, 64 << ((kmers.size - 1) // 32).bit_length())
+    bits = np.bincount((mix(kmers) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _differing(a: str, b: str) -> Column:
+    """In how many bits the bitmaps ``a`` and ``b`` differ, the longer one made shorter: no more than the k-mers that only one text has."""
+    least = f"least(size({a}), size({b}))"
+    shorter = "if(size({0}) = {1}, {0}, transform(sequence(0, {1} - 1), i -> aggregate(sequence(i, size({0}) - 1, {1}), 0L, (x, j) -> x ^ {0}[j])))"
+    return F.expr(f"aggregate(zip_with({shorter.format(a, least)}, {shorter.format(b, least)}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)")
 
 
 def _overlapping(texts: DataFrame, roots: DataFrame, least: float, k: int) -> DataFrame:
     """``a, b``: all pairs of ``texts`` of different classes that may have a similarity of ``least``.
 
-    Similar texts share ``least / (1 + least)`` of their k-mers together, so they
-    share one of the rarest ``(1 - least) * n + 1`` of each, whatever the order.
-    Of those that do, pairs remain whose sizes and places leave room for as many.
+    Similar texts share ``least / (1 + least)`` of their k-mers together. Put in
+    any one order, the first that both have comes early in both: as many must
+    follow. What only one class has is first in that order, then what few texts
+    have. Of texts that meet so, pairs remain whose bitmaps leave room for as
+    many shared k-mers; nothing that is similar is lost.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for node, root, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 kmers = labelled_kmers(text.as_py(), k)
                 if kmers.size:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(kmers.size, node, np.int64)), pa.array(kmers.view(np.int64)), pa.array(np.full(kmers.size, kmers.size))],
-                        names=["node", "kmer", "n"],
-                    )
-
-    kmers = write_through(texts.select("node", "text").mapInArrow(run, "node bigint, kmer bigint, n bigint"), "kmers")
-    first = _rare_first(kmers).where(F.col("place") <= F.lit(1 - least) * F.col("n") + 1e-9)
-    first = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = write_through(first, "rare")
-    one, other = (first.select("kmer", *[F.col(c).alias(c + end) for c in ("node", "n", "place", "root")]) for end in ("_a", "_b"))
+                    lists = [pa.array([part], pa.list_(pa.int64())) for part in (kmers.view(np.int64), parity_bits(kmers))]
+                    one = [pa.array([x], pa.int64()) for x in (node, root, kmers.size)]
+                    yield pa.RecordBatch.from_arrays([*one, *lists], names=["node", "root", "n", "kmers", "bits"])
+
+    rooted = texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "text")
+    sets = write_through(rooted.mapInArrow(run, "node bigint, root bigint, n bigint, kmers array<bigint>, bits array<bigint>"), "kmers")
+    kmers = sets.select("node", "root", "n", F.explode("kmers").alias("kmer"))
+    held = kmers.groupBy("kmer").agg(F.count("*").alias("texts"), (F.min("root") < F.max("root")).alias("several"))
+    order = Window.partitionBy("node").orderBy("several", "texts", "kmer")
+    first = kmers.join(held, "kmer").withColumn("place", F.row_number().over(order) - 1)
+    first = first.where("several").where(F.col("place") <= F.lit(1 - least) * F.col("n") + 1e-9)
+    first = write_through(first.select("node", "kmer", "place").join(sets.select("node", "root", "n", "bits"), "node"), "rare")
+    one, other = (first.select("kmer", *[F.col(c).alias(c + end) for c in ("node", "n", "place", "root", "bits")]) for end in ("_a", "_b"))
     need = F.lit(least / (1 + least)) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-9)
-    room = F.least("place_a", "place_b") + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    met = one.join(other, "kmer").where("node_a < node_b and root_a <> root_b")
-    met = met.where((F.least("n_a", "n_b") >= need) & (room >= need))
+    early = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= need
+    alike = _differing("bits_a", "bits_b") <= F.col("n_a") + F.col("n_b") - F.lit(2) * need
+    met = one.join(other, "kmer").where("node_a < node_b and root_a <> root_b").where(early & alike)
     pairs = write_through(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
-    discard(kmers, first)
+    discard(sets, first)
     return pairs
 
 
