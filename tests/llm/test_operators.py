@@ -288,6 +288,20 @@ def test_personal_data_query(docs, texts):
     assert all(r["n_chars"] == len(r["text"]) for r in left)
 
 
+def test_redact_finds_candidates_once(spark, docs, monkeypatch):
+    train, plans = privacy.train_spans, []
+
+    def watched(found):
+        plans.append(found.select(F.explode("spans").alias("s"))._jdf.queryExecution().executedPlan().toString())
+        return train(found)
+
+    monkeypatch.setattr(privacy, "train_spans", watched)
+    left = privacy.redact(docs)
+    assert len(plans) == 1 and plans[0].count("ArrowEvalPython") <= 1  # two in a task if Spark explodes the column of the function
+    assert left._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert left.count() == docs.count()
+
+
 def test_classifier_adds_announced_spans(spark):
     rows = [document(i, f"Call +1 (607) 555-{1000 + i} today. Mail a{i}@b.com now.") for i in range(30)]
     rows.append(document(100, "My phone is (607) 555-1234, or write joe [at] mail [dot] com please."))

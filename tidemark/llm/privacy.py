@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import write_through
+from tidemark.llm.common import discard, write_through
 
 #: Kinds in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -279,10 +279,13 @@ def redact(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; every row and column stays.
 
     ``n_chars``, where it is there, is set to the new length. Trains on all
-    documents first; texts are not moved between tasks.
+    documents first; texts are not moved between tasks. Candidates are written
+    to the shared folder for that: Spark would find those of a column that it
+    explodes twice, in two workers a task.
     """
-    found = docs.select(find_candidates("text").alias("spans"))
+    found = write_through(docs.select(find_candidates("text").alias("spans")), "spans")
     weights = train_spans(found)
+    discard(found)
 
     def replace(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
