@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import binary_label, feature_names, fit_features
+from tidemark.operators.forest import BinnedForest
 from tidemark.operators.grouping import append_snapshots
 from tidemark.operators.keyed_joins import settle
 from tidemark.operators.metrics import classification_scores, exact_auc
@@ -30,8 +31,8 @@ def logistic_regression(max_iter: int = 50) -> LogisticRegression:
 
 
 def random_forest(trees: int = 100, depth: int = 8, seed: int = 42) -> RandomForestClassifier:
-    """Each row's node in each tree is kept from level to level, so that no level walks the trees again."""
-    return RandomForestClassifier(
+    """Trained over blocks of binned rows; where Spark's own trainer is used, it keeps the rows' nodes between levels."""
+    return BinnedForest(
         labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True
     )
 
