@@ -7,6 +7,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from tidemark.operators import forest as fo
 from tidemark.operators import models as mo
 from tidemark.operators.metrics import exact_auc
@@ -126,3 +127,15 @@ def test_what_the_trainer_does_not_know_goes_to_sparks(spark, rows):
         forest.fit(rows.limit(0))
     with pytest.raises(Exception):  # noqa: B017
         forest.fit(rows.withColumn("label", F.lit(0.5)))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_random_forest_query_trains_over_blocks(spark):
+    assert_blocks(spark, "i8_random_forest", 4)
+
+
+def assert_blocks(spark, query, rows):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert contract.queries()[query](spark, "/root/testdata/sf0.001").count() == rows
+    assert sum("tidemark-forest" in d for d in set(os.listdir(folder)) - before) == 1
