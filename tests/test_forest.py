@@ -134,6 +134,11 @@ def test_random_forest_query_trains_over_blocks(spark):
     assert_blocks(spark, "i8_random_forest", 4)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_model_comparison_query_trains_its_forest_over_blocks(spark):
+    assert_blocks(spark, "i16_model_comparison", 6)
+
+
 def assert_blocks(spark, query, rows):
     folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
     before = set(os.listdir(folder))
