@@ -475,3 +475,45 @@ def test_target_model_is_fitted_on_all_good_labels(spark):
     labels = docs.select("doc_id", F.lit(1).alias("quality"), F.when(F.col("doc_id") < 100, 1).alias("toxic"))
     target = scoring.labelled_target(docs, labels.union(labels))
     assert target.count() == 20_500
+
+
+@pytest.mark.parametrize("held", [scoring.HELD, 40])
+def test_every_character_is_a_token(spark, held):
+    """400 characters, most of them rare; with few cells held in the tasks, the others are joined."""
+    rng = random.Random(9)
+    alphabet = [chr(0x4E00 + i) for i in range(300)] + [chr(0x430 + i) for i in range(30)] + list("abcdefghijklmnopqrstuvwxyz \U0001f600\U0001f601")
+    texts = ["".join(rng.choices(alphabet, [1 / (i + 1) for i in range(len(alphabet))], k=rng.randrange(1, 80))) for _ in range(60)]
+    texts += [texts[0], "", None, "".join(alphabet), "zz"]
+    good = [*texts[:20], "\u0e01 only here"]
+    target = documents(spark, [document(i, t) for i, t in enumerate(good)])
+    docs = documents(spark, [document(i % 62, t) for i, t in enumerate(texts)]).repartition(3)
+    got = sorted(((r["doc_id"], r["n_tokens"], r["target_loss"], r["background_loss"]) for r in scoring.score_documents(docs, target, held=held).collect()), key=str)
+    number = {c: i for i, c in enumerate(sorted(set("".join(t or "" for t in texts))), 1)}
+    size = len(number) + 1
+    assert size > 300
+
+    def model(corpus):
+        three, pair, two, head, one = (Counter() for _ in range(5))
+        for t in corpus:
+            x = [0, 0, *(number.get(c, 0) for c in t or "")]
+            for a, b, c in zip(x, x[1:], x[2:]):
+                for counts, key in ((three, (a, b, c)), (pair, (a, b)), (two, (b, c)), (head, b), (one, c)):
+                    counts[key] += 1
+
+        def loss(text):
+            out = 0
+            x = [0, 0, *(number[c] for c in text)]
+            for a, b, c in zip(x, x[1:], x[2:]):
+                p = (one[c] + 1) / (one.total() + size)
+                p = 0.75 * two[b, c] / head[b] + 0.25 * p if head[b] else p
+                p = 0.6 * three[a, b, c] / pair[a, b] + 0.4 * p if pair[a, b] else p
+                out -= math.log(p)
+            return out / len(text)
+
+        return loss
+
+    goal, back = model(good), model(texts)
+    want = sorted(((i % 62, len(t or ""), goal(t) if t else None, back(t) if t else None) for i, t in enumerate(texts)), key=str)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    for g, w in zip(got, want, strict=True):
+        assert g[2:] == ((None, None) if w[2] is None else pytest.approx(w[2:], rel=1e-5))
